@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html, langid, packing, recompression, substrings
+from . import decontaminate, html, langid, neardup, packing, recompression, substrings
 from .shared import table
 
 #: Share of documents held out of the language model: this remainder of crc32(doc_id) by HELD_OUT_OF.
 HELD_OUT, HELD_OUT_OF = 2, 4
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), scheme=neardup.Scheme(words=3, percent=85))
+
+
 def op4_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = recompression.remove_repeated(table(spark, sf_dir, "documents"), width=35)
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "utf-8"), 256).alias("kept_sha256"))
@@ -44,5 +48,5 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_recompression, op5_packing, op6_langid, op8_decontaminate, op9_html, op10_suffix_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_minhash, op4_recompression, op5_packing, op6_langid, op8_decontaminate, op9_html, op10_suffix_dedup)}
 ORACLES: dict[str, str] = {}
