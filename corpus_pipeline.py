@@ -1,14 +1,63 @@
-"""A corpus pipeline of the operators in stationlens.llm, one stage after the other."""
+"""A corpus pipeline of the operators in stationlens.llm, one stage after the other.
+
+Each stage works on all that the one before it kept, and its decisions take effect:
+documents of unsure language go, repeated chunks of lines go (and documents of which
+nothing is left), one document of each group of near duplicates stays (five words,
+similarity 0.8), documents with a benchmark passage go, and the rest is packed.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import Window as W
+
+from stationlens.llm import decontaminate, langid, lines, neardup, packing
+from stationlens.llm.shared import materialize, table
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(6) Keep the documents whose language the model doesn't reject."""
+    model = langid.fit(docs)
+    return langid.predict(docs, model).where("not rejected").select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(1) Take repeated chunks of lines out; documents of which nothing is left go."""
+    carry = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    found = lines.dedup_lines(docs, carry=carry).where("not (n_removed > 0 and text = '')")
+    return found.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(2) Keep the document of least id of each component; of rows that repeat its id, one."""
+    found = neardup.near_duplicates(docs, scheme=neardup.Scheme(words=5, percent=80, chunks=5))
+    kept = found.where("kept and doc_id is not null").select("doc_id").distinct().hint("merge")
+    one = W.partitionBy("doc_id").orderBy(F.xxhash64(*(F.col(c) for c in docs.columns if c != "doc_id")))
+    named = docs.join(kept, "doc_id", "left_semi").withColumn("place_", F.row_number().over(one)).where("place_ = 1").select(*docs.columns)
+    return named.unionByName(docs.where("doc_id is null"))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(8) Documents that cover half a benchmark item or more go."""
+    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(5) Pieces of token sequences."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [("language", language), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("decontaminated", decontaminated), ("pack", pack)]
+
+#: SQL can't express these stages; tests hold them against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """Apply the stages to documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply the stages to documents, each written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

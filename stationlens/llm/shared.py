@@ -5,10 +5,10 @@ from __future__ import annotations
 import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -75,8 +75,13 @@ def size_in_bytes(df: DataFrame, column: str) -> int:
 
 
 def parts(spark: SparkSession, size: int, each: int) -> int:
-    """Partitions of about ``each`` bytes, and at least as many as the session shuffles into."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // each), 1)
+    """Partitions of about ``each`` bytes, and at least one for each core."""
+    return max(spark.sparkContext.defaultParallelism, -(-size // each), 1)
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` refers to it, in lambdas too."""
+    return F.transform(F.array(value), use)[0]
 
 
 def runs(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[tuple[object, pa.Table]]:
