@@ -10,8 +10,9 @@ them. Whether symbols join depends on them and their neighbours only: inside equ
 windows the symbols agree but for a few words at the ends (``MARGIN``), whatever
 stands around. Longer runs stay as they are.
 
-The symbol of least hash of those inside a window's margins stands for the window;
-symbols that several places share reveal the repeats, which are then verified
+The symbol of least hash of those inside a window's margins stands for the window,
+with the words of a margin on either side, which lie inside the window as well.
+Symbols that several places share reveal the repeats, which are then verified
 window by window (see ``repeats``).
 
 Words are the runs of bytes other than space, tab and line breaks, unchanged. A
@@ -88,12 +89,12 @@ def _range_least(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarr
         step *= 2
 
 
-def finder(width: int = WIDTH) -> repeats.Finder:
+def finder(width: int = WIDTH, chunk: int = K.BLOCK_BYTES) -> repeats.Finder:
     caps, margin = (CAPS, MARGIN) if width >= 2 * MARGIN + 2 * CAPS[-1] - 1 else ((), 0)
 
     def find(texts: list[bytes]) -> repeats.Anchors:
         parts = []
-        for at, buffer, doc_starts, _ in K.blocks(texts):
+        for at, buffer, doc_starts, _ in K.blocks(texts, chunk):
             starts, ends, first_word = K.words(buffer, doc_starts)
             words = K.word_hashes(buffer, starts, ends)
             n = len(words)
@@ -122,8 +123,10 @@ def finder(width: int = WIDTH) -> repeats.Finder:
                 begin = first[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(m) - m, m)
                 return K.range_hash(sums, begin, begin + width, seed=5)
 
+            # a symbol's margins lie inside the windows that it stands for: its name tells them too
+            named = K.range_hash(sums, np.maximum(start[place] - margin, 0), np.minimum(end[place] + margin, n), seed=21)
             text = doc[first]
-            parts.append(repeats.Anchors(units.tolist(), text + at, first - first_word[text], first - start[place], count, K.mix(name[place], 21) >> K.U(16), K.range_hash(sums, first, first + count - 1 + width, seed=3), hashes))
+            parts.append(repeats.Anchors(units.tolist(), text + at, first - first_word[text], first - start[place], count, named >> K.U(16), K.range_hash(sums, first, first + count - 1 + width, seed=3), hashes))
         return repeats.Anchors.joined(parts) if parts else _none()
 
     return find
@@ -176,6 +179,6 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SCHEMA)], schema=_SCHEMA)
 
 
-def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
+def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, chunk: int = K.BLOCK_BYTES) -> DataFrame:
     """Each document's kept words, and the spans (in words, end exclusive) that were removed."""
-    return repeats.repeated(docs, key, text, finder(width), result(width), SCHEMA)
+    return repeats.repeated(docs, key, text, finder(width, chunk), result(width), SCHEMA)
