@@ -9,6 +9,7 @@ from functools import cache
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Separators, edge characters, junk titles and broken encodings.
 SEPARATOR = r"(?U)\s+[-–—]\s+"
@@ -36,7 +37,7 @@ def _marks(by_class: bool) -> str:
 def without_marks(text: Column, form: str, by_class: bool) -> Column:
     """The text decomposed (NFD or NFKD), without combining marks."""
 
-    @F.arrow_udf("string")
+    @F.arrow_udf(StringType())
     def strip(values):
         import pyarrow.compute as pc
 
@@ -74,7 +75,7 @@ def song_key(artist: Column, track: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(bare, "[^a-z0-9\\x00]+", " "), " +", " "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescaped(text: pd.Series) -> pd.Series:
     """Character references decoded; Spark has no function for them."""
     return text.map(html.unescape, na_action="ignore")

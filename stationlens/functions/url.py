@@ -7,6 +7,7 @@ import ipaddress
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 # Schemes, ports that are never visited, the longest URL, and playlist endings.
 SCHEMES = ("http", "https")
@@ -45,7 +46,7 @@ def path(url: Column) -> Column:
     return F.regexp_extract(url, SHAPE, 3)
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(BooleanType())
 def _public_six(address: pd.Series) -> pd.Series:
     def public(x):
         try:

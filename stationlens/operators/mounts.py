@@ -53,7 +53,7 @@ def icecast(docs: DataFrame, doc: str, value: str) -> DataFrame:
     listen = _json("src", "$.listenurl")
     raw = F.coalesce(_filled(_json("src", "$.mount"), listen), F.lit(""))
     title = F.coalesce(_filled(_json("src", "$.title"), _json("src", "$.yp_currently_playing")), F.lit(""))
-    bitrate = _number(_text("src", "$.bitrate"), _text("src", "$['ice-bitrate']"))
+    bitrate = _number(_text("src", "$.bitrate"), _text("src", '$["ice-bitrate"]'))
     mount = _mount(U.mount_path(raw), listen, U.raw_mount_path(raw), title, _json("src", "$.server_name"), _json("src", "$.genre"), U.codec_of(_json("src", "$.server_type")), bitrate, _number(_text("src", "$.listeners")))
     return rows.where(raw != "").select(doc, "pos", mount.alias("mount"))
 

@@ -1,4 +1,9 @@
-"""Queries over the driver's tables, with their SQL."""
+"""Queries over the driver's tables, with their SQL.
+
+The tables hold no stations, so each query takes columns of the same shape: URLs of
+pages, parts as stations with variants, events as plays in rounds, suppliers and parts
+as stations with titles. Small dimensions are given as values.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +11,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
+
+from .functions import text as T
+from .functions import titles as S
+from .functions import url as U
+from .operators import catalog, dedup, geo, lexicon, mounts, orientation, plays, siblings, simulate, simulcast, taxonomy
+from .sources import readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,17 +38,593 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def values(spark: SparkSession, rows: str, columns: str) -> DataFrame:
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS v({columns})")
+
+
+# --------------------------------------------------------------- URLs
+
+ATTACKS = r"""('http://127.0.0.1/x'), ('http://10.1.2.3:8000/x'), ('ftp://example.com/x'), ('http://example.com:22/'), ('http:///x'), (''), ('http://example.com:0/x'),
+ ('https://user:pw@www.Example.com:443/A//'), ('http://8.8.8.8/x?y=1#z'), ('http://a_b.example.com:8000/Stream.MP3?sid=1'), ('http://169.254.169.254/latest'), ('file:///etc/passwd'), ('http://example.com:99999/'), ('http://example.com:x/')"""
+
+SQL_URL = rf"""urls AS (SELECT url FROM pages UNION ALL SELECT * FROM (VALUES {ATTACKS}) v(url)),
+parts AS (SELECT url, lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\-]*):(?://([^/?#]*))?([^?#]*)', 1)) AS scheme,
+  regexp_replace(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\-]*):(?://([^/?#]*))?([^?#]*)', 2), '^.*@', '') AS authority,
+  regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\-]*):(?://([^/?#]*))?([^?#]*)', 3) AS path FROM urls),
+named AS (SELECT *, lower(regexp_extract(authority, '^([^:]*)', 1)) AS host, regexp_extract(authority, ':([^:\]]*)$', 1) AS port_text,
+  nullif(try_cast(regexp_extract(authority, ':([^:\]]*)$', 1) AS INT), 0) AS port FROM parts)"""
+
+
+def urls(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("url").unionByName(values(spark, ATTACKS, "url"))
+
+
+@query(
+    "url_gate_funnel",
+    f"""WITH {SQL_URL}, judged AS (SELECT CASE WHEN url = '' OR length(url) > 2048 THEN 'length' WHEN scheme NOT IN ('http', 'https') THEN 'scheme' WHEN host = '' THEN 'host'
+      WHEN port_text <> '' AND try_cast(port_text AS INT) IS NULL THEN 'port'
+      WHEN coalesce(port, CASE scheme WHEN 'https' THEN 443 ELSE 80 END) IN (22, 23, 25, 445, 3306, 5432, 6379, 11211, 27017) OR coalesce(port, 80) NOT BETWEEN 1 AND 65535 THEN 'port'
+      WHEN regexp_matches(host, '^(10|127|0)\\.\\d+\\.\\d+\\.\\d+$') OR regexp_matches(host, '^(169\\.254|192\\.168)\\.\\d+\\.\\d+$') THEN 'address' ELSE 'kept' END AS reason FROM named)
+    SELECT reason, count(*) AS n FROM judged GROUP BY reason""",
+)
+def url_gate_funnel(spark, sf_dir):
+    return catalog.funnel(urls(spark, sf_dir).withColumn("reason", U.refusal(F.col("url"), six=True)))
+
+
+@query(
+    "url_dedup_key",
+    f"""WITH {SQL_URL}, keyed AS (SELECT regexp_replace(host, '^www\\.', '') || CASE WHEN port NOT IN (80, 443) THEN ':' || port ELSE '' END AS address, regexp_replace(path, '/+$', '') AS path FROM named)
+    SELECT CASE WHEN address = '' AND NOT starts_with(path, '//') THEN path ELSE '//' || address || path END AS key, count(*) AS n FROM keyed GROUP BY ALL""",
+)
+def url_dedup_key(spark, sf_dir):
+    return urls(spark, sf_dir).groupBy(U.dedup_key(F.col("url")).alias("key")).agg(F.count("*").alias("n"))
+
+
+@query(
+    "mount_paths",
+    r"""WITH p AS (SELECT url, regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)', 1) AS path FROM pages),
+    m AS (SELECT url, path, regexp_replace(regexp_replace(regexp_replace(lower(trim(CASE path WHEN '' THEN '/' ELSE path END)), ';+$', ''), '\.(m3u|m3u8|pls|xspf|asx)$', ''), '/+$', '') AS mount FROM p)
+    SELECT url, CASE mount WHEN '' THEN '/' ELSE mount END AS mount, trim(path) AS raw FROM m""",
+)
+def mount_paths(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("url", U.mount_path(F.col("url")).alias("mount"), U.raw_mount_path(F.col("url")).alias("raw"))
+
+
+@query("codec_of_type", "SELECT ct, CASE WHEN ct LIKE '%aac%' THEN 'AAC' WHEN ct LIKE '%mpeg%' OR ct LIKE '%mp3%' THEN 'MP3' WHEN ct LIKE '%ogg%' OR ct LIKE '%vorbis%' THEN 'OGG' WHEN ct LIKE '%flac%' THEN 'FLAC' ELSE '' END AS codec FROM (VALUES ('audio/mpeg'), ('audio/aacp'), ('application/ogg'), ('audio/flac'), ('text/html'), ('')) v(ct)")
+def codec_of_type(spark, sf_dir):
+    return values(spark, "('audio/mpeg'), ('audio/aacp'), ('application/ogg'), ('audio/flac'), ('text/html'), ('')", "ct").select("ct", U.codec_of(F.col("ct")).alias("codec"))
+
+
+@query("status_bases", "SELECT url, regexp_extract(url, '^(https?://[^/?#]*)', 1) AS base FROM pages")
+def status_bases(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("url", U.status_base(F.col("url")).alias("base"))
+
+
+# --------------------------------------------------------------- catalog
+
+
 @query(
     "best_variant_per_key",
-    """
-    SELECT p_name, p_partkey, p_size, p_retailprice, first_seq FROM (
-      SELECT p_name, p_partkey, p_size, p_retailprice,
-             row_number() OVER (PARTITION BY p_name ORDER BY p_size DESC, p_retailprice DESC, p_partkey) AS rn,
-             min(p_partkey) OVER (PARTITION BY p_name) AS first_seq
-      FROM part) WHERE rn = 1
-    """,
+    """SELECT p_name, p_partkey, p_size, p_retailprice, first_seq FROM (
+      SELECT p_name, p_partkey, p_size, p_retailprice, row_number() OVER (PARTITION BY p_name ORDER BY p_size DESC, p_retailprice DESC, p_partkey) AS rn,
+        min(p_partkey) OVER (PARTITION BY p_name) AS first_seq FROM part) WHERE rn = 1""",
 )
 def best_variant_per_key(spark, sf_dir):
-    own = W.partitionBy("p_name")
-    ranked = table(spark, sf_dir, "part").withColumns({"rn": F.row_number().over(own.orderBy(F.desc("p_size"), F.desc("p_retailprice"), "p_partkey")), "first_seq": F.min("p_partkey").over(own)})
-    return ranked.where("rn = 1").select("p_name", "p_partkey", "p_size", "p_retailprice", "first_seq")
+    best = dedup.best_per_key(table(spark, sf_dir, "part"), "p_name", ["p_size", "p_retailprice"], "p_partkey")
+    return best.select("p_name", "p_partkey", "p_size", "p_retailprice", "first_seq")
+
+
+SQL_LINES = "SELECT l_orderkey, CASE l_returnflag WHEN 'A' THEN 'MP3' WHEN 'N' THEN 'aac+' ELSE 'WMA' END AS codec, CAST(l_quantity * 3 AS INT) AS bitrate, l_tax < 0.07 AS ok, l_linestatus = 'F' AS speech FROM lineitem"
+
+
+@query(
+    "gate_drop_reasons",
+    f"""WITH s AS ({SQL_LINES}) SELECT CASE WHEN NOT ok THEN 'dead' WHEN codec = 'WMA' THEN 'codec' WHEN bitrate <> 0 AND bitrate < CASE WHEN speech THEN 48 ELSE 96 END THEN 'bitrate' ELSE 'kept' END AS reason, count(*) AS n FROM s GROUP BY 1""",
+)
+def gate_drop_reasons(spark, sf_dir):
+    table(spark, sf_dir, "lineitem").createOrReplaceTempView("stationlens_lineitem")
+    rows = spark.sql(SQL_LINES.replace("FROM lineitem", "FROM stationlens_lineitem"))
+    genres = F.when(F.col("speech"), F.array(F.lit("news"))).otherwise(F.array(F.lit("rock"), F.lit("news")))
+    gate = catalog.Gate()
+    return catalog.funnel(rows.withColumn("reason", gate.reason(F.lit(False), F.col("ok"), F.col("codec"), F.col("bitrate"), genres)))
+
+
+@query(
+    "editorial_overlay",
+    """WITH picks AS (SELECT * FROM (VALUES ('red bolt', 'Brand#1', 1), ('red bolt', 'Brand#99', 2), ('own stream', 'Brand#7', 3), ('blue gear', '', 4)) v(p_name, p_brand, n)),
+    last AS (SELECT p_name, arg_max(p_brand, n) AS brand FROM picks GROUP BY p_name),
+    ranked AS (SELECT p_name, p_brand, p_partkey, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) AS rn FROM part)
+    SELECT coalesce(r.p_name, l.p_name) AS p_name, coalesce(nullif(l.brand, ''), r.p_brand) AS p_brand, r.p_partkey, l.p_name IS NOT NULL AS featured
+    FROM (SELECT * FROM ranked WHERE rn = 1) r FULL JOIN last l ON r.p_name = l.p_name
+    UNION ALL SELECT p_name, p_brand, p_partkey, false FROM ranked WHERE rn > 1""",
+)
+def editorial_overlay(spark, sf_dir):
+    picks = values(spark, "('red bolt', 'Brand#1', 1), ('red bolt', 'Brand#99', 2), ('own stream', 'Brand#7', 3), ('blue gear', '', 4)", "p_name, p_brand, n")
+    return dedup.overlay(table(spark, sf_dir, "part").select("p_name", "p_brand", "p_partkey"), picks, "p_name", "p_partkey", "n", ["p_brand"])
+
+
+@query("top_per_country", "SELECT c_nationkey, c_custkey, rank FROM (SELECT c_nationkey, c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_custkey) AS rank FROM customer) WHERE rank <= 5")
+def top_per_country(spark, sf_dir):
+    return dedup.top_per_key(table(spark, sf_dir, "customer"), ["c_nationkey"], [F.desc("c_acctbal"), F.col("c_custkey")], 5).select("c_nationkey", "c_custkey", "rank")
+
+
+@query("country_codes", "SELECT upper(substr(n_name, 1, 2)) AS code, count(*) * 0 + n_nationkey AS n FROM nation WHERE n_nationkey >= 3 GROUP BY n_nationkey, n_name")
+def country_codes(spark, sf_dir):
+    records = table(spark, sf_dir, "nation").select(F.substring("n_name", 1, 2).alias("name"), F.col("n_nationkey").alias("stationcount"))
+    return readers.countries(records, 3)
+
+
+@query("stations_by_tag", "SELECT p_partkey, p_retailprice FROM part WHERE p_name LIKE '%bolt%' ORDER BY p_retailprice DESC, p_partkey LIMIT 10")
+def stations_by_tag(spark, sf_dir):
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("uuid"), F.split("p_name", " ").alias("tags"), F.col("p_retailprice").alias("clickcount"))
+    return readers.by_tag(rows, "bolt", 10).select(F.col("uuid").alias("p_partkey"), F.col("clickcount").alias("p_retailprice"))
+
+
+@query("station_records", "SELECT p_partkey AS seq, p_partkey::VARCHAR AS uuid, p_name AS name, ['a', 'b c', lower(p_type)] AS tags, 'DE' AS countrycode, upper(p_brand) AS codec, p_size::BIGINT AS bitrate, 0::BIGINT AS votes, true AS lastcheckok, NULL::DOUBLE AS geo_lat FROM part")
+def station_records(spark, sf_dir):
+    text = lambda c: F.lit(c).cast("string")
+    raw = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("seq"), F.col("p_partkey").cast("string").alias("stationuuid"), F.concat(F.lit(" "), "p_name", F.lit(" ")).alias("name"), text("u").alias("url"), text("").alias("url_resolved"), text("").alias("homepage"),
+        F.concat(F.lit(" A,,b C ,"), "p_type").alias("tags"), text("").alias("country"), text("de").alias("countrycode"), text(None).alias("language"), F.lower("p_brand").alias("codec"), text("").alias("favicon"),
+        F.col("p_size").cast("string").alias("bitrate"), text("x").alias("votes"), text(None).alias("clickcount"), text("1").alias("lastcheckok"), text("north").alias("geo_lat"), text("1.5").alias("geo_long"),
+    )
+    return readers.shaped(raw).select("seq", "uuid", "name", "tags", "countrycode", "codec", "bitrate", "votes", "lastcheckok", "geo_lat")
+
+
+@query(
+    "catalog_statistics",
+    """SELECT count(*) AS kept, count(*) FILTER (p_size > 10) AS with_genre, count(*) FILTER (p_size % 2 = 0) AS with_geo FROM part""",
+)
+def catalog_statistics(spark, sf_dir):
+    rows = table(spark, sf_dir, "part").select(F.when(F.col("p_size") > 10, F.split("p_name", " ")).otherwise(F.array().cast("array<string>")).alias("genres"), F.when(F.col("p_size") % 2 == 0, F.struct(F.lit(1.0), F.lit(2.0))).alias("geo"))
+    return catalog.statistics(rows)
+
+
+@query("genre_histogram", "SELECT unnest(string_split(p_name, ' ')) AS genre, count(*) AS n FROM part GROUP BY 1")
+def genre_histogram(spark, sf_dir):
+    return catalog.by_genre(table(spark, sf_dir, "part").select(F.split("p_name", " ").alias("genres")))
+
+
+@query("triage_export", "SELECT p_name AS name, p_brand AS url, CASE WHEN p_size > 10 THEN split_part(p_name, ' ', 1) ELSE 'unknown' END AS \"group\" FROM part")
+def triage_export(spark, sf_dir):
+    genres = F.when(F.col("p_size") > 10, F.split("p_name", " ")).otherwise(F.array().cast("array<string>"))
+    return catalog.triage(table(spark, sf_dir, "part").select(F.col("p_name").alias("name"), F.col("p_brand").alias("url"), genres.alias("genres")))
+
+
+@query("geo_drop_rate", "SELECT n_regionkey, round(count(*) FILTER (n_nationkey % 3 = 0) / greatest(1, count(*)) * 100, 6) AS rate FROM nation GROUP BY 1")
+def geo_drop_rate(spark, sf_dir):
+    counted = table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.count_if(F.col("n_nationkey") % 3 != 0).alias("with_geo"), F.count_if(F.col("n_nationkey") % 3 == 0).alias("dropped"))
+    return counted.select("n_regionkey", F.round(geo.drop_rate(F.col("with_geo"), F.col("dropped")), 6).alias("rate"))
+
+
+@query("sampled_capture")
+def sampled_capture(spark, sf_dir):
+    return readers.sampled(table(spark, sf_dir, "pages").select("url", F.lit(True).alias("watchable")).distinct(), 50, 7)
+
+
+# --------------------------------------------------------------- taxonomy, geography
+
+SYNONYMS = "('metal', 'bolt', 0), ('metal', 'steel bolt', 1), ('rock', 'red ring', 2), ('rock', 'widget', 3), ('pop', 'widget', 4), ('jazz', 'small', 5), ('oldies', 'old', 6)"
+NOISE = "('large'), ('hot')"
+SQL_GENRES = f"""syn AS (SELECT * FROM (VALUES {SYNONYMS}) v(genre, synonym, priority)), noise AS (SELECT * FROM (VALUES {NOISE}) v(tag)),
+tags AS (SELECT DISTINCT tag FROM (SELECT p_name AS tag FROM part UNION ALL SELECT p_type FROM part UNION ALL SELECT * FROM (VALUES ('80s'), ('1990er'), ('Old-Ring'), ('Hot'), ('')) v(tag))),
+keyed AS (SELECT tag, trim(regexp_replace(regexp_replace(strip_accents(lower(trim(tag))), '[_\\-/|]+', ' ', 'g'), '\\s+', ' ', 'g')) AS key FROM tags),
+genre_of AS (SELECT tag, key, key IN (SELECT tag FROM noise) AS noisy, CASE WHEN key = '' OR key IN (SELECT tag FROM noise) THEN NULL ELSE
+  coalesce((SELECT arg_min(genre, priority) FROM syn WHERE synonym = key), CASE WHEN regexp_matches(key, '^(19|20)?[0-9]0\\s*(s|''s|er|er jahre|te|ties)?$') THEN 'oldies' END,
+    (SELECT arg_min(genre, priority) FROM syn WHERE contains(' ' || key || ' ', ' ' || synonym || ' '))) END AS genre FROM keyed)"""
+
+
+def _tags(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    return part.select(F.col("p_name").alias("tag")).union(part.select("p_type")).union(values(spark, "('80s'), ('1990er'), ('Old-Ring'), ('Hot'), ('')", "tag"))
+
+
+def _taxonomy(spark):
+    return values(spark, SYNONYMS, "genre, synonym, priority"), values(spark, NOISE, "tag")
+
+
+@query("taxonomy_classify", f"WITH {SQL_GENRES} SELECT tag, key, noisy, genre FROM genre_of")
+def taxonomy_classify(spark, sf_dir):
+    return taxonomy.genres_of(_tags(spark, sf_dir), *_taxonomy(spark))
+
+
+@query("taxonomy_coverage", f"WITH {SQL_GENRES} SELECT g.genre IS NOT NULL AS hit, count(*) AS n FROM part p JOIN genre_of g ON g.tag = p.p_type WHERE NOT noisy GROUP BY 1")
+def taxonomy_coverage(spark, sf_dir):
+    counted = table(spark, sf_dir, "part").groupBy(F.col("p_type").alias("tag")).agg(F.count("*").alias("n"))
+    return taxonomy.coverage(counted, *_taxonomy(spark)).groupBy(F.col("genre").isNotNull().alias("hit")).agg(F.sum("n").alias("n"))
+
+
+@query(
+    "taxonomy_genres",
+    f"""WITH {SQL_GENRES}, pair AS (SELECT p_partkey, p_name, g.genre AS a, n.genre AS b FROM part JOIN genre_of g ON g.tag = p_type JOIN genre_of n ON n.tag = p_name)
+    SELECT p_partkey, CASE WHEN a IS NOT NULL THEN [a] WHEN b IS NOT NULL THEN [b] ELSE CAST([] AS VARCHAR[]) END AS genres FROM pair""",
+)
+def taxonomy_genres(spark, sf_dir):
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.array("p_type", "p_type").alias("tags"), "p_name")
+    return taxonomy.classified(rows, "p_partkey", "tags", "p_name", *_taxonomy(spark)).select("p_partkey", "genres")
+
+
+BOXES = "('N1', 0.0, 10.0, 170.0, -170.0), ('N2', -20.0, 20.0, -40.0, 40.0), ('N3', 40.0, 50.0, 0.0, 20.0), ('N4', -60.0, -30.0, 100.0, 140.0), ('N9', 60.0, 80.0, 20.0, 60.0)"
+DEPENDENCIES = "('N2', 'N9'), ('N3', 'N4'), ('N8', 'N9'), ('N3', 'N7')"
+SQL_POINTS = "SELECT c_custkey, 'N' || (c_nationkey % 11) AS code, CASE WHEN c_custkey % 50 = 0 THEN NULL WHEN c_custkey % 51 = 0 THEN 0 ELSE c_acctbal / 100.0 - 10 END AS lat, CASE WHEN c_custkey % 51 = 0 THEN 0 ELSE (c_custkey * 37 % 380) - 190.0 END AS lon FROM customer"
+
+
+@query(
+    "geo_containment",
+    f"""WITH p AS ({SQL_POINTS}), box AS (SELECT * FROM (VALUES {BOXES}) v(code, a, b, w, e)), dep AS (SELECT * FROM (VALUES {DEPENDENCIES}) v(code, dep)),
+    every AS (SELECT * FROM box UNION ALL SELECT d.code, b.a, b.b, b.w, b.e FROM dep d JOIN box o ON o.code = d.code JOIN box b ON b.code = d.dep),
+    met AS (SELECT p.*, every.code IS NOT NULL AS known, lat >= a - 2 AND lat <= b + 2 AND CASE WHEN w > e THEN lon >= w - 2 OR lon <= e + 2 ELSE lon >= w - 2 AND lon <= e + 2 END AS hit FROM p LEFT JOIN every ON every.code = p.code)
+    SELECT c_custkey, CASE WHEN lat IS NULL OR lat NOT BETWEEN -90 AND 90 OR lon NOT BETWEEN -180 AND 180 OR (lat = 0 AND lon = 0) THEN false WHEN NOT bool_or(known) THEN NULL ELSE bool_or(hit) END AS inside
+    FROM met GROUP BY c_custkey, lat, lon""",
+)
+def geo_containment(spark, sf_dir):
+    table(spark, sf_dir, "customer").createOrReplaceTempView("stationlens_customer")
+    points = spark.sql(SQL_POINTS.replace("FROM customer", "FROM stationlens_customer"))
+    return geo.verdicts(points, "c_custkey", "code", "lat", "lon", values(spark, BOXES, "code, min_lat, max_lat, min_lon, max_lon"), values(spark, DEPENDENCIES, "code, dep"))
+
+
+# --------------------------------------------------------------- text
+
+SQL_PLAIN = "regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace({0}, '[\\(\\[].*?[\\)\\]]', ' ', 'g'), '[^a-z0-9 ]+', ' ', 'g'), ' +', ' ', 'g')), '^the ', '')"
+SQL_FIRST_LINE = "split_part(text, chr(10), 1)"
+
+
+@query("fold_text", f"SELECT doc_id, {SQL_PLAIN.format(f'strip_accents(lower({SQL_FIRST_LINE}))')} AS key FROM documents")
+def fold_text(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", T.fold(F.substring_index("text", "\n", 1)).alias("key"))
+
+
+@query("artist_key", f"SELECT doc_id, {SQL_PLAIN.format(f'''regexp_split_to_array(strip_accents(lower({SQL_FIRST_LINE} || ' ft. Other')), ' +(?:feat\\.?|ft\\.?|featuring|vs\\.?|&|with) +')[1]''')} AS key FROM documents")
+def artist_key(spark, sf_dir):
+    line = F.concat(F.substring_index("text", "\n", 1), F.lit(" ft. Other"))
+    return table(spark, sf_dir, "documents").select("doc_id", T.artist_key(line).alias("key"))
+
+
+@query("song_key", f"SELECT doc_id, trim(regexp_replace(strip_accents(lower({SQL_FIRST_LINE})), '[^a-z0-9]+', ' ', 'g')) || ' ' || lang AS key FROM documents WHERE regexp_matches({SQL_FIRST_LINE}, '[a-zA-Z0-9]')")
+def song_key(spark, sf_dir):
+    key = F.regexp_replace(F.replace(T.song_key(F.substring_index("text", "\n", 1), F.col("lang")), F.lit("\0"), F.lit(" ")), " +", " ")
+    return table(spark, sf_dir, "documents").where(F.substring_index("text", "\n", 1).rlike("[a-zA-Z0-9]")).select("doc_id", key.alias("key"))
+
+
+@query("unescaped_titles", "SELECT page_id, replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '&') AS title FROM pages")
+def unescaped_titles(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", T.unescaped(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("title"))
+
+
+# --------------------------------------------------------------- plays
+
+SQL_PLAYS = "SELECT user_id::VARCHAR AS uuid, event_type AS artist_key, count(*) AS n, strftime(min(ts), '%Y-%m-%dT%H:%MZ') AS first, strftime(max(ts), '%Y-%m-%dT%H:%MZ') AS last FROM events GROUP BY ALL"
+
+
+def _observations(spark, sf_dir):
+    song = F.get_json_object("props", "$.k")
+    return table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("uuid"), F.col("event_type").alias("artist_key"), F.upper("event_type").alias("artist"), song.alias("song"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm'Z'").alias("round"), F.col("event_id").alias("seq"),
+        F.concat(F.col("event_type"), F.lit(" - Song "), song).alias("raw"), F.date_trunc("hour", "ts").cast("string").alias("hour"),
+    )
+
+
+@query("play_pairs", SQL_PLAYS)
+def play_pairs(spark, sf_dir):
+    return plays.pairs(_observations(spark, sf_dir))
+
+
+@query("merged_play_pairs", SQL_PLAYS)
+def merged_play_pairs(spark, sf_dir):
+    seen = _observations(spark, sf_dir)
+    early = F.col("round") < "2024-01-15"
+    return plays.merged_pairs(plays.pairs(seen.where(early)), plays.pairs(seen.where(~early)))
+
+
+@query("artist_names", "SELECT event_type AS artist_key, upper(event_type) AS artist FROM events GROUP BY 1, 2")
+def artist_names(spark, sf_dir):
+    return plays.names(_observations(spark, sf_dir))
+
+
+@query("half_topk", "SELECT key, n FROM (SELECT key, count(*) AS n FROM (SELECT event_type AS key FROM events UNION ALL SELECT 'song ' || json_extract_string(props, '$.k') FROM events) GROUP BY key) ORDER BY n DESC, key LIMIT 40")
+def half_topk(spark, sf_dir):
+    return plays.half_counts(_observations(spark, sf_dir), "raw", 40)
+
+
+SQL_INDEX = """pairs AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL),
+rows AS (SELECT event_type AS artist_key, (CASE WHEN user_id < 20 THEN 0 ELSE user_id END)::VARCHAR AS uuid, sum(n)::BIGINT AS n, count(*) AS variants, (CASE WHEN user_id < 20 THEN 0 ELSE user_id END) % 3 = 0 AS watchable FROM pairs JOIN customer ON c_custkey = user_id WHERE n >= 2 GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY artist_key ORDER BY watchable DESC, n DESC, uuid) AS rank FROM rows)"""
+
+
+def _index(spark, sf_dir):
+    stations = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("uuid"), (F.col("c_custkey") % 3 == 0).alias("watchable"))
+    same = spark.range(20).select(F.col("id").cast("string").alias("uuid"), F.lit("0").alias("representative"))
+    return plays.index_rows(plays.pairs(_observations(spark, sf_dir)), stations, same, min_plays=2), stations
+
+
+@query("search_index", f"WITH {SQL_INDEX} SELECT artist_key, rank, uuid, n, watchable, variants FROM ranked WHERE rank <= 24")
+def search_index(spark, sf_dir):
+    return _index(spark, sf_dir)[0]
+
+
+@query("search_index_json", f"""WITH {SQL_INDEX} SELECT artist_key, '[' || string_agg('{{"uuid":"' || uuid || '","n":' || n || ',"watchable":' || watchable || CASE WHEN variants > 1 THEN ',"variants":' || variants ELSE '' END || '}}', ',' ORDER BY rank) || ']' AS stations FROM ranked WHERE rank <= 24 GROUP BY artist_key""")
+def search_index_json(spark, sf_dir):
+    return plays.search_index(_index(spark, sf_dir)[0]).select("artist_key", F.to_json("stations").alias("stations"))
+
+
+@query("most_widespread", f"WITH {SQL_INDEX} SELECT artist_key, count(*) AS stations FROM ranked WHERE rank <= 24 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 3")
+def most_widespread(spark, sf_dir):
+    return plays.widest(_index(spark, sf_dir)[0], 3)
+
+
+@query(
+    "dictionary_encode",
+    f"""WITH {SQL_INDEX}, kept AS (SELECT * FROM ranked WHERE rank <= 24 AND uuid::INT % 2 = 0), used AS (SELECT uuid, min(artist_key || lpad(rank::VARCHAR, 5, '0')) AS use FROM kept GROUP BY uuid),
+    numbered AS (SELECT uuid, row_number() OVER (ORDER BY use, uuid) - 1 AS number FROM used) SELECT artist_key, rank, number, n FROM kept JOIN numbered USING (uuid)""",
+)
+def dictionary_encode(spark, sf_dir):
+    index, stations = _index(spark, sf_dir)
+    bundled = stations.where("cast(uuid as int) % 2 = 0")
+    return plays.dictionary_encoded(index, bundled, ["artist_key", "rank"])[1].select("artist_key", "rank", "number", "n")
+
+
+@query("index_misses", f"WITH {SQL_INDEX} SELECT count(*) AS misses FROM ranked WHERE rank <= 24 AND uuid::INT % 2 <> 0")
+def index_misses(spark, sf_dir):
+    index, stations = _index(spark, sf_dir)
+    return plays.misses(index, stations.where("cast(uuid as int) % 2 = 0"))
+
+
+@query("rekeyed_index", "WITH r AS (SELECT CASE event_type WHEN 'view' THEN 'click' ELSE event_type END AS artist_key, user_id, count(*) AS n FROM events GROUP BY ALL) SELECT artist_key, user_id::VARCHAR AS uuid, n, false AS watchable, CASE artist_key WHEN 'click' THEN 'Click & Co' ELSE upper(artist_key) END AS artist FROM r")
+def rekeyed_index(spark, sf_dir):
+    index = plays.pairs(_observations(spark, sf_dir)).select("artist_key", "uuid", "n", F.lit(False).alias("watchable"))
+    names = plays.names(_observations(spark, sf_dir)).withColumn("artist", F.when(F.col("artist_key").isin("click", "view"), "Click &amp; Co").otherwise(F.col("artist")))
+    return plays.rekeyed(index, names).select("artist_key", "uuid", "n", "watchable", "artist")
+
+
+@query("stream_play_pairs", SQL_PLAYS)
+def stream_play_pairs(spark, sf_dir):
+    from .storage import shared_folder
+    from .streaming import harvest
+
+    import uuid
+
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    schema = table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).format("parquet").load(f"{sf_dir}/events.parque[t]")
+    seen = stream.select(F.col("user_id").cast("string").alias("uuid"), F.col("event_type").alias("artist_key"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm'Z'").alias("round"))
+    harvest.stream_pairs(seen, f"{folder}/state", f"{folder}/checkpoint").awaitTermination()
+    return harvest.latest(spark, f"{folder}/state").select("uuid", "artist_key", "n", "first", "last")
+
+
+# --------------------------------------------------------------- simulcast
+
+SQL_CO = """obs AS (SELECT DISTINCT date_trunc('hour', ts) AS round, user_id::VARCHAR AS uuid, event_type || (json_extract_string(props, '$.k')::INT % 7)::VARCHAR AS song FROM events),
+agreed AS (SELECT DISTINCT x.round, x.uuid AS a, y.uuid AS b FROM obs x JOIN obs y ON x.round = y.round AND x.song = y.song AND x.uuid < y.uuid),
+same AS (SELECT a, b, count(*) AS same, min(round) AS first, max(round) AS last FROM agreed GROUP BY a, b), playing AS (SELECT DISTINCT round, uuid FROM obs),
+co AS (SELECT s.a, s.b, s.same, count(*) AS "both", s.first, s.last FROM same s JOIN playing p ON p.uuid = s.a AND p.round >= s.first JOIN playing q ON q.uuid = s.b AND q.round = p.round GROUP BY ALL)"""
+
+
+def _co(spark, sf_dir):
+    song = F.concat("artist_key", (F.col("song").cast("int") % 7).cast("string"))
+    return simulcast.co_occurrence(_observations(spark, sf_dir).withColumn("song", song), "hour", "uuid", "song")
+
+
+@query("simulcast_pairs", f"""WITH {SQL_CO} SELECT a, b, same, "both", strftime(first, '%Y-%m-%d %H:%M:%S') AS first, strftime(last, '%Y-%m-%d %H:%M:%S') AS last FROM co""")
+def simulcast_pairs(spark, sf_dir):
+    return _co(spark, sf_dir)
+
+
+@query("simulcast_confirmed", f"""WITH {SQL_CO} SELECT a, b, same, "both" FROM co WHERE same >= 2 AND same / "both" >= 0.5""")
+def simulcast_confirmed(spark, sf_dir):
+    return simulcast.confirmed(_co(spark, sf_dir), 2, 0.5).select("a", "b", "same", "both")
+
+
+@query(
+    "simulcast_groups",
+    f"""WITH RECURSIVE {SQL_CO}, sure AS (SELECT a, b, same, "both" FROM co WHERE same >= 2 AND same / "both" >= 0.6), edge AS (SELECT a AS u, b AS v FROM sure UNION SELECT b, a FROM sure),
+    reach(u, v) AS (SELECT u, u FROM edge UNION SELECT r.u, e.v FROM reach r JOIN edge e ON e.u = r.v), label AS (SELECT u, min(v) AS component FROM reach GROUP BY u),
+    members AS (SELECT component, arg_max(u, (c_acctbal > 0)::INT * 100000 + u::INT) AS representative, string_agg(u, ',' ORDER BY u) AS members FROM label JOIN customer ON c_custkey = u::INT GROUP BY component),
+    weak AS (SELECT component, min(same) AS weakest_same, round(min(same / "both"), 3) AS weakest_agreement FROM sure JOIN label ON label.u = a GROUP BY component)
+    SELECT representative, members, weakest_same, weakest_agreement FROM members JOIN weak USING (component)""",
+)
+def simulcast_groups(spark, sf_dir):
+    stations = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("uuid"), (F.col("c_acctbal") > 0).cast("int").alias("bitrate"), F.col("c_custkey").alias("popularity"))
+    found = simulcast.groups(_co(spark, sf_dir), stations, 2, 0.6)
+    return found.select("representative", F.array_join("members", ",").alias("members"), "weakest_same", "weakest_agreement")
+
+
+# --------------------------------------------------------------- lexicon and titles
+
+SQL_RECORDINGS = "rec AS (SELECT p_partkey AS recording, split_part(p_name, ' ', 1) AS artist, CASE WHEN p_size % 5 = 0 THEN split_part(p_name, ' ', 1) ELSE split_part(p_name, ' ', 2) END AS title FROM part), red AS (SELECT l_partkey AS recording, count(*) AS redirects FROM lineitem WHERE l_quantity > 45 GROUP BY 1)"
+SQL_EVIDENCE = f"""{SQL_RECORDINGS}, evidence AS (SELECT key, max(pop)::BIGINT AS pop, sum(a)::BIGINT AS as_artist, sum(t)::BIGINT AS as_title FROM (
+  SELECT artist AS key, coalesce(redirects, 0) AS pop, 1 AS a, 0 AS t FROM rec LEFT JOIN red USING (recording) UNION ALL SELECT title, 0, 0, 1 FROM rec) GROUP BY key)"""
+
+
+def _recordings(spark, sf_dir):
+    word = lambda i: F.split("p_name", " ")[i]
+    rec = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("recording"), word(0).alias("artist"), F.when(F.col("p_size") % 5 == 0, word(0)).otherwise(word(1)).alias("title"))
+    red = table(spark, sf_dir, "lineitem").where("l_quantity > 45").select(F.col("l_partkey").alias("target"))
+    return rec, lexicon.redirect_counts(red)
+
+
+@query("lexicon_evidence", f"WITH {SQL_EVIDENCE} SELECT key, pop, as_artist, as_title FROM evidence")
+def lexicon_evidence(spark, sf_dir):
+    return lexicon.evidence(*_recordings(spark, sf_dir))
+
+
+@query(
+    "lexicon_tiers",
+    f"""WITH {SQL_EVIDENCE}, a AS (SELECT key FROM evidence WHERE pop >= 9 AND as_artist > 0 AND as_artist >= 2.0 * as_title), seen AS (SELECT * FROM (VALUES ('red'), ('old'), ('bolt'), ('hot'), ('gear')) v(key))
+    SELECT key, 'a' AS tier FROM a UNION ALL SELECT key, 'b' FROM evidence WHERE as_artist > 0 AND as_artist >= 2.0 * as_title AND key IN (SELECT key FROM seen) AND key NOT IN (SELECT key FROM a)""",
+)
+def lexicon_tiers(spark, sf_dir):
+    titles = values(spark, "('Red - Old'), ('bolt - hot'), ('Gear - red'), ('none')", "raw")
+    return lexicon.tiers(lexicon.evidence(*_recordings(spark, sf_dir)), lexicon.observed_halves(titles), popularity=9)
+
+
+@query("lexicon_pairs", f"WITH {SQL_RECORDINGS} SELECT DISTINCT artist, title FROM rec WHERE artist IN ('red', 'old', 'hot') AND title IN ('red', 'old', 'hot')")
+def lexicon_pairs(spark, sf_dir):
+    return lexicon.known_pairs(_recordings(spark, sf_dir)[0], values(spark, "('red'), ('old'), ('hot')", "key"))
+
+
+SQL_TITLES = """SELECT station, raw, row_number() OVER (PARTITION BY station ORDER BY raw) AS seq FROM (SELECT DISTINCT l_suppkey::VARCHAR AS station,
+  CASE WHEN l_linenumber = 7 THEN 'Advert - ' || p_name WHEN l_linenumber = 6 THEN p_name WHEN l_suppkey % 2 = 0 THEN a || ' - ' || b ELSE b || ' - ' || a END AS raw FROM (
+  SELECT l_suppkey, l_linenumber, p_name, split_part(p_name, ' ', 1) || CASE l_linenumber WHEN 1 THEN ' feat. Guest' ELSE '' END AS a, split_part(p_name, ' ', 2) || CASE l_linenumber WHEN 2 THEN ' (Late Remix)' WHEN 3 THEN ' (Remix) Two' ELSE '' END AS b
+  FROM lineitem JOIN part ON p_partkey = l_partkey) x) y"""
+NAMES = "('red'), ('old'), ('gear')"
+PAIRS = "('hot', 'gizmo'), ('gizmo', 'cold'), ('red', 'bolt'), ('bolt', 'red')"
+SQL_CUE = r"(?i)[\(\[][^\)\]]*\b(remix)\b"
+SQL_FOLDED = "regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace(lower({0}), '[\\(\\[].*?[\\)\\]]', ' ', 'g'), '[^a-z0-9 ]+', ' ', 'g'), ' +', ' ', 'g')), '^the ', '')"
+SQL_READ = rf"""titles AS ({SQL_TITLES}), names AS (SELECT * FROM (VALUES {NAMES}) v(key)), known AS (SELECT * FROM (VALUES {PAIRS}) v(artist, title)),
+halves AS (SELECT *, raw LIKE 'Advert%' AS junk, CASE WHEN contains(raw, ' - ') THEN split_part(raw, ' - ', 1) END AS l, CASE WHEN contains(raw, ' - ') THEN split_part(raw, ' - ', 2) END AS r FROM titles),
+folded AS (SELECT *, {SQL_FOLDED.format('l')} AS lk, {SQL_FOLDED.format('r')} AS rk FROM halves),
+marks AS (SELECT *, (lk, rk) IN (SELECT (artist, title) FROM known) AS lr, (rk, lk) IN (SELECT (artist, title) FROM known) AS rl, lk IN (SELECT key FROM names) AS ln, rk IN (SELECT key FROM names) AS rn,
+  regexp_matches(l, '{SQL_CUE}') AS lv, regexp_matches(r, '{SQL_CUE}') AS rv, contains(l, ' feat. ') AS lc, contains(r, ' feat. ') AS rc, regexp_matches(r, '{SQL_CUE}[^\)\]]*[\)\]].') AS closes FROM folded WHERE l IS NOT NULL AND NOT junk),
+evidence AS (SELECT *, CASE WHEN lr AND NOT rl THEN 0 WHEN rl AND NOT lr THEN 1 WHEN ln AND NOT rn THEN 0 WHEN rn AND NOT ln THEN 1 WHEN rv AND NOT lv THEN 0 WHEN lv AND NOT rv THEN 1 WHEN lc AND NOT rc THEN 0 WHEN rc AND NOT lc THEN 1 END AS o,
+  CASE WHEN lr <> rl THEN 3 WHEN ln <> rn THEN 2 WHEN rv AND NOT lv THEN CASE WHEN closes THEN 2 ELSE 1 END WHEN lv AND NOT rv THEN 2 WHEN lc AND NOT rc THEN 2 WHEN rc AND NOT lc THEN 1 ELSE 0 END AS strength,
+  CASE WHEN lr <> rl THEN 'pair' WHEN ln <> rn THEN 'name' WHEN rv AND NOT lv THEN CASE WHEN closes THEN 'bound' ELSE 'trailing' END WHEN lv AND NOT rv THEN 'bound' WHEN lc AND NOT rc THEN 'bound' WHEN rc AND NOT lc THEN 'trailing' ELSE 'none' END AS source FROM marks),
+tally AS (SELECT *, least(64, sum((o = 0 AND strength >= 2)::INT) OVER w) AS sf, least(64, sum((o = 1 AND strength >= 2)::INT) OVER w) AS ss, least(64, sum((o = 0 AND strength = 1)::INT) OVER w) AS wf, least(64, sum((o = 1 AND strength = 1)::INT) OVER w) AS ws
+  FROM evidence WINDOW w AS (PARTITION BY station ORDER BY seq)),
+decided AS (SELECT *, CASE WHEN strength >= 2 THEN o WHEN coalesce(greatest(sf, ss), 0) >= 2 AND greatest(sf, ss) > 2 * least(sf, ss) THEN CASE WHEN sf > ss THEN 0 ELSE 1 END WHEN coalesce(greatest(sf, ss), 0) > 0 THEN NULL
+  WHEN coalesce(wf, 0) >= 3 AND coalesce(ws, 0) = 0 THEN 0 WHEN coalesce(ws, 0) >= 3 AND coalesce(wf, 0) = 0 THEN 1 END AS d FROM tally),
+readings AS (SELECT h.station, h.seq, h.raw, CASE WHEN h.junk THEN 'notmusic' WHEN x.d IS NULL THEN 'unsplit' ELSE 'song' END AS kind, CASE x.d WHEN 0 THEN h.l WHEN 1 THEN h.r END AS artist, CASE x.d WHEN 0 THEN h.r WHEN 1 THEN h.l END AS track,
+  CASE WHEN x.d IS NULL THEN NULL WHEN x.strength >= 2 THEN x.source ELSE 'station' END AS source FROM halves h LEFT JOIN decided x USING (station, seq))"""
+
+
+def _readings(spark, sf_dir):
+    for name in ("lineitem", "part"):
+        table(spark, sf_dir, name).createOrReplaceTempView(f"stationlens_{name}")
+    titles = spark.sql(SQL_TITLES.replace("FROM lineitem JOIN part", "FROM stationlens_lineitem JOIN stationlens_part").replace("::VARCHAR", "").replace("split_part(p_name, ' ', 1)", "split(p_name, ' ')[0]").replace("split_part(p_name, ' ', 2)", "split(p_name, ' ')[1]"))
+    titles = titles.withColumn("station", F.col("station").cast("string")).withColumn("seq", F.col("seq").cast("long"))
+    return orientation.readings(titles, values(spark, NAMES, "key"), values(spark, PAIRS, "artist, title"))
+
+
+@query("orientation_readings", f"WITH {SQL_READ} SELECT station, seq, raw, kind, artist, track, source FROM readings")
+def orientation_readings(spark, sf_dir):
+    return _readings(spark, sf_dir)
+
+
+@query("orientation_rate", f"WITH {SQL_READ}, c AS (SELECT count(*) FILTER (kind = 'song') AS song, count(*) FILTER (kind = 'unsplit') AS unsplit, count(*) FILTER (kind = 'notmusic') AS notmusic FROM readings) SELECT song, unsplit, notmusic, round(100.0 * song / (song + unsplit), 6) AS rate FROM c")
+def orientation_rate(spark, sf_dir):
+    return orientation.resolution(_readings(spark, sf_dir)).withColumn("rate", F.round("rate", 6))
+
+
+@query(
+    "orientation_grades",
+    f"""WITH {SQL_READ}, oracle AS (SELECT DISTINCT split_part(p_name, ' ', 1) AS a, split_part(p_name, ' ', 2) AS t FROM part WHERE p_size > 47), s AS (SELECT source, {SQL_FOLDED.format('artist')} AS a, {SQL_FOLDED.format('track')} AS t FROM readings WHERE kind = 'song'),
+    g AS (SELECT source, (a, t) IN (SELECT (a, t) FROM oracle) AS x, (t, a) IN (SELECT (a, t) FROM oracle) AS y FROM s)
+    SELECT source, CASE WHEN x AND NOT y THEN 'ok' WHEN y AND NOT x THEN 'WRONG' ELSE 'ungraded' END AS verdict, count(*) AS n FROM g GROUP BY ALL""",
+)
+def orientation_grades(spark, sf_dir):
+    oracle = table(spark, sf_dir, "part").where("p_size > 47").select(F.split("p_name", " ")[0].alias("artist"), F.split("p_name", " ")[1].alias("title"))
+    return orientation.grades(orientation.graded(_readings(spark, sf_dir).where("kind = 'song'"), oracle))
+
+
+@query("split_titles", "SELECT event_id, event_type AS artist, 'Song ' || json_extract_string(props, '$.k') AS track FROM events WHERE length(event_type) > 0")
+def split_titles(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").withColumn("raw", F.concat(F.lit("  "), "event_type", F.lit(" –  'Song "), F.get_json_object("props", "$.k"), F.lit('"')))
+    song = T.song_of(F.col("raw"))
+    return rows.select("event_id", song["artist"].alias("artist"), song["track"].alias("track"))
+
+
+# --------------------------------------------------------------- mounts and siblings
+
+DOCS = r"""('d1', 'h1', '/status-json.xsl', '{"icestats":{"source":[{"listenurl":"http://h1/One.mp3","title":"A Band - Song","bitrate":128,"listeners":"7","server_name":"One","server_type":"audio/mpeg"},{"mount":"/two.aac","yp_currently_playing":" B - T ","ice-bitrate":"64","server_type":"audio/aacp"},{"title":"no mount"}]}}'),
+ ('d2', 'h2', '/status-json.xsl', '{"icestats":{"source":{"listenurl":"http://h2:8000/live","title":7}}}'), ('d3', 'h3', '/stats?json=1', '{"songtitle":"C - U","servertitle":"Three","bitrate":"320","currentlisteners":5,"content":"audio/mpeg","streampath":"/stream"}'),
+ ('d4', 'h4', '/status.xsl', '<h3>Mount Point /four</h3><table><td>Bitrate:</td><td>96</td><td>Current Song:</td><td> D - V </td></table><h3 class="m">Mount Point /five.ogg</h3><td>Content Type:</td><td>application/ogg</td>'),
+ ('d5', 'h5', '/7.html', '<td>E - W</td><td>x</td>'), ('d6', 'h1', '/status.xsl', '<h3>Mount Point /other</h3>'), ('d7', 'h6', '/status-json.xsl', '{"deep":{"song":"F - X","more":[{"title":"G - Y"}]}}'), ('d8', 'h7', '/status-json.xsl', 'broken')"""
+STREAMS = "('s1', 'h1', 'http://h1/one.mp3?x=1'), ('s2', 'h1', 'http://h1/proxy/two.aac'), ('s3', 'h1', 'http://h1/gone'), ('s4', 'h3', 'http://h3/;'), ('s5', 'h5', 'http://h5/whatever'), ('s6', 'h2', 'http://h2:8000/live.m3u'), ('s7', 'h4', 'http://h4/FIVE.ogg/')"
+
+
+def _mounts(spark):
+    docs = values(spark, DOCS, "doc, host, path, body")
+    return docs, mounts.parsed(docs, "doc", "path", "body")
+
+
+@query(
+    "mount_parse",
+    """SELECT * FROM (VALUES ('d1', '/one.mp3', '/One.mp3', 'A Band - Song', 'One', 'MP3', 128, 7), ('d1', '/two.aac', '/two.aac', 'B - T', '', 'AAC', 64, 0), ('d2', '/live', '/live', NULL, '', '', 0, 0), ('d3', '', '/stream', 'C - U', 'Three', 'MP3', 320, 5),
+    ('d4', '/four', '/four', 'D - V', '', '', 96, 0), ('d4', '/five.ogg', '/five.ogg', NULL, '', 'OGG', 0, 0), ('d5', '', '', 'E - W', '', '', 0, 0), ('d6', '/other', '/other', NULL, '', '', 0, 0), ('d7', '', '', 'F - X', '', '', 0, 0), ('d7', '', '', 'G - Y', '', '', 0, 0)) v(doc, path, raw_path, title, name, codec, bitrate, listeners)""",
+)
+def mount_parse(spark, sf_dir):
+    found = _mounts(spark)[1].select("doc", "mount.*")
+    return found.select("doc", "path", "raw_path", "title", "name", "codec", F.col("bitrate").cast("int").alias("bitrate"), F.col("listeners").cast("int").alias("listeners"))
+
+
+@query("mount_select", "SELECT * FROM (VALUES ('s1', '/status-json.xsl', '/one.mp3', 'A Band', 'Song'), ('s2', '/status-json.xsl', '/two.aac', NULL, NULL), ('s4', '/stats?json=1', '', NULL, NULL), ('s5', '/7.html', '', NULL, NULL), ('s6', '/status-json.xsl', '/live', NULL, NULL), ('s7', '/status.xsl', '/five.ogg', NULL, NULL)) v(stream, endpoint, path, artist, track)")
+def mount_select(spark, sf_dir):
+    docs, found = _mounts(spark)
+    streams = values(spark, STREAMS, "stream, host, url")
+    chosen = mounts.selected(streams, mounts.first_answer(docs, found, "host", "doc", "path"), "stream", "host", "url")
+    song = T.song_of(F.coalesce("mount.title", F.lit("")))
+    return chosen.select("stream", "endpoint", "mount.path", song["artist"].alias("artist"), song["track"].alias("track"))
+
+
+STEMS = "('/0n-2000s.mp3'), ('/0n-2000s_app.mp3'), ('/0n-2000s_alexa_128.mp3'), ('/hit80128.mp3'), ('/hit90128.mp3'), ('/HitFMDp_HD'), ('/320'), ('/a_tunein_aac-hi_64.ogg')"
+
+
+@query("station_stem", "SELECT * FROM (VALUES ('/0n-2000s.mp3', '0n-2000s'), ('/0n-2000s_app.mp3', '0n-2000s'), ('/0n-2000s_alexa_128.mp3', '0n-2000s'), ('/hit80128.mp3', 'hit80'), ('/hit90128.mp3', 'hit90'), ('/HitFMDp_HD', 'hitfmdp'), ('/320', '320'), ('/a_tunein_aac-hi_64.ogg', 'a_tunein')) v(path, stem)")
+def station_stem(spark, sf_dir):
+    return values(spark, STEMS, "path").select("path", S.station_stem(F.col("path")).alias("stem"))
+
+
+@query("variant_pick", "SELECT p_partkey FROM (SELECT p_partkey, row_number() OVER (PARTITION BY p_brand, split_part(p_name, ' ', 1) ORDER BY p_size DESC, p_retailprice DESC, p_partkey) AS rn FROM part) WHERE rn = 1")
+def variant_pick(spark, sf_dir):
+    ending = F.element_at(F.array(*map(F.lit, ("_app.mp3", "_128.mp3", ".mp3", "_hd", ""))), (F.col("p_partkey") % 5 + 1).cast("int"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("host"), F.concat(F.lit("/"), F.split("p_name", " ")[0], ending).alias("path"), F.col("p_size").alias("bitrate"), F.col("p_retailprice").alias("listeners"))
+    return siblings.variants(rows, "host", "path", "p_partkey").select("p_partkey")
+
+
+SQL_SETS = "sets AS (SELECT DISTINCT l_suppkey // 2 AS host, (l_suppkey // 2 // 3) * 40 + (l_partkey * 7 + l_suppkey // 2) % CASE WHEN l_suppkey // 2 % 3 = 0 THEN 20 ELSE 21 END AS path FROM lineitem)"
+
+
+@query("alias_overlaps", f"WITH {SQL_SETS}, n AS (SELECT host, count(*) AS n FROM sets GROUP BY 1), met AS (SELECT x.host AS a, y.host AS b, count(*) AS c FROM sets x JOIN sets y USING (path) WHERE x.host <> y.host GROUP BY ALL) SELECT a, b FROM met JOIN n p ON p.host = a JOIN n q ON q.host = b WHERE (p.n > q.n OR (p.n = q.n AND a < b)) AND c / (p.n + q.n - c) >= 0.9")
+def alias_overlaps(spark, sf_dir):
+    return siblings.overlaps(_sets(spark, sf_dir))
+
+
+def _sets(spark, sf_dir):
+    half = F.expr("l_suppkey div 2")
+    return table(spark, sf_dir, "lineitem").select(half.alias("host"), (F.floor(half / 3) * 40 + (F.col("l_partkey") * 7 + half) % F.when(half % 3 == 0, 20).otherwise(21)).alias("path")).distinct()
+
+
+@query("alias_hosts")
+def alias_hosts(spark, sf_dir):
+    return siblings.alias_hosts(_sets(spark, sf_dir))
+
+
+@query("sibling_antijoin", "SELECT min(page_id) AS page_id FROM pages WHERE page_id % 3 <> 0 AND regexp_replace(regexp_replace(regexp_extract(url, '^https?:(//[^?#]*)', 1), '/+$', ''), '^//www\\.', '//') NOT IN (SELECT regexp_replace(regexp_replace(regexp_extract(url, '^https?:(//[^?#]*)', 1), '/+$', ''), '^//www\\.', '//') FROM pages WHERE page_id % 3 = 0) GROUP BY regexp_replace(regexp_replace(regexp_extract(url, '^https?:(//[^?#]*)', 1), '/+$', ''), '^//www\\.', '//')")
+def sibling_antijoin(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return siblings.discovered(pages.where("page_id % 3 <> 0"), pages.where("page_id % 3 = 0"), "url", "page_id").select("page_id")
+
+
+@query("insert_absent", "SELECT p_name, p_partkey FROM part WHERE p_partkey < 30 UNION ALL SELECT p_name, min(p_partkey) FROM part WHERE p_partkey >= 30 AND p_name NOT IN (SELECT p_name FROM part WHERE p_partkey < 30) GROUP BY p_name")
+def insert_absent(spark, sf_dir):
+    part = table(spark, sf_dir, "part").select("p_name", "p_partkey")
+    return dedup.insert_absent(part.where("p_partkey < 30"), part.where("p_partkey >= 30"), "p_name", "p_partkey")
+
+
+@query("probe_seeds", "SELECT host, url FROM (SELECT lower(regexp_extract(url, '^https?://([^/?#]*)', 1)) AS host, url, row_number() OVER (PARTITION BY lower(regexp_extract(url, '^https?://([^/?#]*)', 1)) ORDER BY page_id) AS rn FROM pages WHERE page_id % 4 > 0) WHERE rn = 1")
+def probe_seeds(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", (F.col("page_id") % 4 > 0).alias("watchable"))
+    return siblings.seeds(pages, "url", "page_id").select("host", "url")
+
+
+# --------------------------------------------------------------- simulation
+
+
+@query("index_maturity_grid", "SELECT plays, days, round(pow(1 - 24 / (86400 / 233.0), plays * days), 10) AS missed FROM (VALUES (1), (2), (5)) p(plays), (VALUES (1), (7), (30)) d(days)")
+def index_maturity_grid(spark, sf_dir):
+    grid = values(spark, "(1), (2), (5)", "plays").crossJoin(values(spark, "(1), (7), (30)", "days"))
+    return grid.withColumn("missed", F.round(simulate.missed(F.lit(simulate.sampling_rate()), F.col("plays"), F.col("days")), 10))
+
+
+@query("zipf_expected_coverage", "WITH w AS (SELECT i, pow(i::DOUBLE, -0.8) AS w FROM range(1, 2001) r(i)), n AS (SELECT w / (SELECT sum(w) FROM w) AS p FROM w) SELECT round(sum(p * (1 - pow(1 - p, 5000))), 9) AS coverage FROM n")
+def zipf_expected_coverage(spark, sf_dir):
+    return simulate.expected_coverage(simulate.zipf(spark, 2000, 0.8), 5000).select(F.round("coverage", 9).alias("coverage"))
+
+
+@query("zipf_drawn_coverage")
+def zipf_drawn_coverage(spark, sf_dir):
+    return simulate.drawn_coverage(simulate.zipf(spark, 2000, 0.8), 5000, 20)
+
+
+@query("expected_wait", "SELECT pool, round(60 / (pool * 24 / (86400 / 233.0) / 24), 9) AS minutes FROM (VALUES (10), (100), (646)) v(pool)")
+def expected_wait(spark, sf_dir):
+    return values(spark, "(10), (100), (646)", "pool").select("pool", F.round(simulate.wait_minutes(F.col("pool"), F.lit(simulate.sampling_rate())), 9).alias("minutes"))
