@@ -40,7 +40,7 @@ from . import shared
 from .components import components
 
 SMALL = 48
-GROUP = 256
+GROUP = 1024
 
 
 @dataclass(frozen=True)
@@ -141,17 +141,22 @@ def _block_links(found: list[np.ndarray], side: np.ndarray, part: int, scheme: S
     size = np.array([len(x) for x in found])
     left = np.flatnonzero(side == 0)
     right = np.flatnonzero(side == 1) if (side == 1).any() else left
-    same = slots[left][:, None, :] == slots[right][None, :, :]
-    distance = scheme.slots - same.sum(axis=2)
-    want = (distance <= scheme.distance) & (100 * np.minimum(size[left][:, None], size[right]) >= scheme.percent * np.maximum(size[left][:, None], size[right]))
-    if right is left:
-        want &= left[:, None] < right
-    for earlier in scheme.indexes[:part]:
-        want &= ~same[:, :, list(earlier)].all(axis=2)
-    a, b = np.nonzero(want)
+    met = []
+    for at in range(0, len(left), 64):
+        here = left[at : at + 64]
+        same = slots[here][:, None, :] == slots[right][None, :, :]
+        distance = scheme.slots - same.sum(axis=2)
+        want = (distance <= scheme.distance) & (100 * np.minimum(size[here][:, None], size[right]) >= scheme.percent * np.maximum(size[here][:, None], size[right]))
+        if right is left:
+            want &= here[:, None] < right
+        for earlier in scheme.indexes[:part]:
+            want &= ~same[:, :, list(earlier)].all(axis=2)
+        a, b = np.nonzero(want)
+        met.append(np.stack([here[a], right[b], distance[a, b]]))
+    a, b, distance = np.concatenate(met, axis=1)
     groups = _Union(len(found))
-    for k in np.argsort(distance[a, b], kind="stable").tolist():
-        x, y = int(left[a[k]]), int(right[b[k]])
+    for k in np.argsort(distance, kind="stable").tolist():
+        x, y = int(a[k]), int(b[k])
         p, q = groups.find(x), groups.find(y)
         if p != q and _similar(found[x], found[y], scheme.percent):
             groups.up[p] = q
@@ -189,7 +194,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sc
     dealt = large.select(F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("gid"), "part", F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side"), "doc_id")
 
     groups = shared.materialize(star.unionByName(dealt), "groups")
-    with_text = groups.join(rows, "doc_id").select("gid", "part", "side", "doc_id", "text")
+    # what is to be confirmed grows with the input, so texts are always dealt by id
+    with_text = rows.join(groups.hint("merge"), "doc_id").select("gid", "part", "side", "doc_id", "text")
     into = max(int(spark.conf.get("spark.sql.shuffle.partitions")), groups.count() // 2000)
     links = with_text.repartition(into, "part", "gid").sortWithinPartitions("part", "gid", "doc_id").mapInArrow(lambda b: _confirm(b, scheme), "a long, b long")
     found = components(links)
