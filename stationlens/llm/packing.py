@@ -26,6 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from . import shared
+
 CAPACITY = 4096
 MAX_SEGMENTS = 512
 POOL = 256
@@ -33,6 +35,12 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 #: Where a text may be cut without changing its ids: this tokenizer drops white space.
 SPACES = re.compile(r"[ \t\n\v\f\r]+")
+#: A character that is a word, and an id, of its own.
+MARK = "\x02"
+#: Plain text: Latin letters, digits, signs and spaces, for which lower-casing and splitting agree with the tokenizer's.
+_PLAIN = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\u012f\u0131-\u0148\u014a-\u024f]")
+_LATIN = bytes([0x09, 0x0A, 0x0D, *range(0x20, 0x7F), *range(0xA1, 0x100)])
+
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -40,39 +48,73 @@ SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 class WordTokenizer:
     """Ids of whole texts, as little-endian 32-bit bytes, with a bounded memory of words.
 
-    The tokenizer never joins characters across white space, so a text's ids are its
-    words' ids in a row; common words are looked up instead of encoded again.
+    The tokenizer lower-cases and never joins characters across white space, so a
+    text's ids are its words' ids in a row; words seen before are looked up.
     """
 
-    def __init__(self, path: str, most: int = 300_000, longest: int = 48):
+    def __init__(self, path: str, most: int = 1_200_000, longest: int = 48):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.most, self.longest = most, longest
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # words not met since there were half of ``most`` others
+        (self.mark,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        lists = [[w for w in SPACES.split(t) if w] if t else [] for t in texts]
-        ids: dict[str, bytes] = {}
-        missing = []
-        for word in set(chain.from_iterable(lists)):
-            known = self.young.get(word)
-            if known is None and (known := self.old.get(word)) is not None:
-                self.young[word] = known
-            if known is None:
+        lists = [_words(t) if t else [] for t in texts]
+        known, older, missing = self.known, self.older, []
+        for word in set(chain.from_iterable(lists)).difference(known):
+            if (code := older.get(word)) is None:
                 missing.append(word)
             else:
-                ids[word] = known
-        for at in range(0, len(missing), 4096):
-            part = missing[at : at + 4096]
-            for word, code in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                ids[word] = known = np.array(code.ids, dtype="<u4").tobytes()
-                if len(word) <= self.longest:
-                    self.young[word] = known
-        if len(self.young) > self.most:
-            self.old, self.young = self.young, {}
-        return [b"".join(map(ids.__getitem__, words)) for words in lists]
+                known[word] = code
+        self._learn(missing)
+        out = [b"".join(map(known.__getitem__, words)) for words in lists]
+        for word in missing:
+            if len(word) > self.longest:
+                del known[word]
+        if len(known) > self.most // 2:
+            self.known, self.older = {}, known
+        return out
+
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode many words at a time, with a mark between them that none of them holds."""
+        alone = [w for w in words if MARK in w or "<|" in w]
+        for word in alone:
+            self.known[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if alone:
+            words = [w for w in words if w not in self.known]
+        between = f" {MARK} "
+        parts = [words[at : at + 256] for at in range(0, len(words), 256)]
+        for part, code in zip(parts, self.tokenizer.encode_batch_fast([between.join(p) + between for p in parts], add_special_tokens=False)):
+            ids = np.array(code.ids, dtype="<u4")
+            ends = (np.flatnonzero(ids == self.mark) * 4).tolist()
+            code = ids.tobytes()
+            begin = 0
+            for word, end in zip(part, ends):
+                self.known[word] = code[begin:end]
+                begin = end + 4
+
+
+def _words(text: str) -> list[str]:
+    """Pieces between white space; in lower case where one letter's never depends on others or is several."""
+    if "<|" not in text and _is_plain(text):
+        return text.lower().split()
+    return [w for w in SPACES.split(text) if w]
+
+
+def _is_plain(text: str) -> bool:
+    try:
+        return not text.encode("latin-1").translate(None, _LATIN)
+    except UnicodeEncodeError:
+        return _PLAIN.search(text) is None
+
+
+def tokenizer_at(path: str) -> WordTokenizer:
+    """One for each Python worker, so that its tasks share what is known."""
+    return shared.kept(f"packing {path}", lambda: WordTokenizer(path))
 
 
 class Packer:
@@ -194,14 +236,14 @@ def pack_documents(
             import public_tokenizers
 
             path = public_tokenizers.path(TOKENIZER)
-        words = WordTokenizer(path)
+        words = tokenizer_at(path)
         packer = Packer(TaskContext.get().partitionId() << 40, limits)
         end = np.array([end_id], dtype="<u4").tobytes()
 
         def pieces() -> Iterator[tuple]:
             for batch in batches:
-                for at in range(0, batch.num_rows, 128):
-                    part = batch.slice(at, 128)
+                for at in range(0, batch.num_rows, 256):
+                    part = batch.slice(at, 256)
                     codes = words.encode(part.column(1).to_pylist())
                     packer.add([(k, c + end, None, 0) for k, c in zip(part.column(0).to_pylist(), codes)])
                     yield from packer.pack(POOL)
@@ -238,7 +280,7 @@ def pack_conversations(
             import public_tokenizers
 
             path = public_tokenizers.path(TOKENIZER)
-        words = WordTokenizer(path)
+        words = tokenizer_at(path)
         packer = Packer(TaskContext.get().partitionId() << 40, limits)
         end = np.array([end_id], dtype="<u4").tobytes()
 
