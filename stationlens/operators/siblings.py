@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 
 from ..functions import titles as S
 from ..functions import url as U
-from ..storage import written
+from ..storage import materialize
 from . import dedup
 from .catalog import Gate
 
@@ -60,15 +60,15 @@ def alias_hosts(paths: DataFrame, host: str = "host", path: str = "path", least:
     In order of size and name a host is dropped if it overlaps one that is kept. Rounds
     decide every host whose earlier neighbours are all decided; only edges go round.
     """
-    edges = written(overlaps(paths, host, path, least), "overlaps")
+    edges = materialize(overlaps(paths, host, path, least), "overlaps")
     hosts = edges.select(F.col("a").alias("host")).union(edges.select("b")).distinct()
-    decided = written(hosts.join(edges.select(F.col("b").alias("host")), "host", "left_anti").withColumn("kept", F.lit(True)), "hosts")
+    decided = materialize(hosts.join(edges.select(F.col("b").alias("host")), "host", "left_anti").withColumn("kept", F.lit(True)), "hosts")
     while True:
         open_ = hosts.join(decided, "host", "left_anti")
         state = edges.join(open_, F.col("b") == F.col("host"), "left_semi").join(decided.withColumnRenamed("host", "a"), "a", "left")
         verdict = state.groupBy("b").agg(F.bool_or(F.coalesce("kept", F.lit(False))).alias("drop"), F.bool_and(F.col("kept").isNotNull()).alias("all"))
         new = verdict.where("drop or all").select(F.col("b").alias("host"), (~F.col("drop")).alias("kept"))
-        after = written(decided.unionByName(new), "hosts")
+        after = materialize(decided.unionByName(new), "hosts")
         if after.count() == decided.count():
             return after.where("not kept").select("host")
         decided = after
