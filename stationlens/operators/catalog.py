@@ -72,3 +72,13 @@ def by_genre(catalog: DataFrame) -> DataFrame:
 
 def triage(catalog: DataFrame) -> DataFrame:
     return catalog.select("name", "url", F.coalesce(F.try_element_at("genres", F.lit(1)), F.lit("unknown")).alias("group"))
+
+
+def report(funnel: DataFrame, statistics: DataFrame, genres: DataFrame, most: int = 12) -> str:
+    """The catalog's figures as text; all three inputs are small aggregates."""
+    dropped = {r["reason"]: r["n"] for r in funnel.collect()}
+    kept = statistics.first()
+    lines = [f"input: {sum(n for reason, n in dropped.items() if reason != 'duplicate')}", *(f"  - {reason}: {n}" for reason, n in sorted(dropped.items()) if reason != "kept")]
+    lines += [f"kept: {kept['kept']}, with genre: {kept['with_genre']}, with coordinates: {kept['with_geo']}"]
+    top = genres.orderBy(F.desc("n"), "genre").limit(most).collect()
+    return "\n".join([*lines, "genres: " + ", ".join(f"{r['genre']}={r['n']}" for r in top)])

@@ -87,6 +87,17 @@ def discovered(candidates: DataFrame, catalog: DataFrame, url: str = "url", seq:
     return dedup.first_per_key(fresh, ["key"], [seq])
 
 
+def funnel(mounts: DataFrame, aliases: DataFrame, good: DataFrame, picked: DataFrame, known: DataFrame, new: DataFrame, host: str = "host") -> DataFrame:
+    """(step, n): what each step of a discovery saw and left out. Mounts of alias hosts don't count as seen."""
+    count = lambda step, df, n=None: df.agg(F.lit(step).alias("step"), (F.count("*") if n is None else n).alias("n"))
+    single = mounts.join(aliases, host, "left_anti")
+    steps = [count("hosts_probed", mounts.select(host).distinct()), count("mounts_seen", single), count("alias_hosts", aliases), count("passed_quality", good), count("picked_variants", picked), count("already_known", known), count("new", new)]
+    out = steps[0]
+    for s in steps[1:]:
+        out = out.unionByName(s)
+    return out
+
+
 def entries(found: DataFrame) -> DataFrame:
     """Discovered mounts in the catalog's shape; country and language come from the seed. Expects seed_* columns and genres."""
     name = F.coalesce(F.nullif(F.trim("name"), F.lit("")), F.regexp_replace("path", "^/+", ""))

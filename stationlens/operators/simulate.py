@@ -31,22 +31,40 @@ def expected_coverage(weights: DataFrame, samples: int) -> DataFrame:
     return weights.agg(F.sum(F.col("weight") * (1 - F.pow(1 - F.col("weight"), F.lit(samples)))).alias("coverage"))
 
 
-def drawn_coverage(weights: DataFrame, samples: int, trials: int, seed: int = SEED) -> DataFrame:
-    """The mean over trials of the share of plays whose item was drawn.
-
-    An item is drawn k times with the chance that a Poisson-free direct draw gives: each
-    (trial, sample) draws a point, found among cumulated weights by bucket.
-    """
-    spark = weights.sparkSession
+def drawn(points: DataFrame, weights: DataFrame, slots: int = 1024) -> DataFrame:
+    """Points (u from 0 to 1) with the item whose share of the cumulated weights holds them; joined by slots of equal width."""
     upper = weights.withColumn("hi", F.sum("weight").over(W.orderBy("rank").rowsBetween(W.unboundedPreceding, 0)))
     ranges = upper.select("rank", "weight", (F.col("hi") - F.col("weight")).alias("lo"), "hi")
-    slots = 1024
     ranges = ranges.withColumn("slot", F.explode(F.sequence(F.floor(F.col("lo") * slots), F.floor(F.least(F.col("hi"), F.lit(1 - 1e-12)) * slots))))
-    points = spark.range(trials * samples).select((F.col("id") % trials).alias("trial"), F.rand(seed).alias("u")).withColumn("slot", F.floor(F.col("u") * slots))
-    hits = points.join(ranges, "slot").where("u >= lo and u < hi").select("trial", "rank", "weight").distinct()
+    last = F.col("hi") >= 1 - 1e-9
+    return points.withColumn("slot", F.floor(F.col("u") * slots)).join(ranges, "slot").where((F.col("u") >= F.col("lo")) & ((F.col("u") < F.col("hi")) | last)).drop("slot", "lo", "hi")
+
+
+def drawn_coverage(weights: DataFrame, samples: int, trials: int, seed: int = SEED) -> DataFrame:
+    """The mean over trials of the share of plays whose item was drawn."""
+    points = weights.sparkSession.range(trials * samples).select((F.col("id") % trials).alias("trial"), F.rand(seed).alias("u"))
+    hits = drawn(points, weights).select("trial", "rank", "weight").distinct()
     return hits.groupBy("trial").agg(F.sum("weight").alias("share")).agg(F.avg("share").alias("coverage"))
 
 
+def hit_rate(spark: SparkSession, stations: int, days: int = 30, searches: int = 4000, universe: int = 20_000, rate: float | None = None, seed: int = 7) -> DataFrame:
+    """The share of searches for an artist that some station was seen to play.
+
+    Fixed values: searches are Zipf by 0.8; a station plays 150 to 500 artists from a quarter of a drawn rank on,
+    the r-th 3 / r ** 0.7 times a day.
+    """
+    rate = sampling_rate() if rate is None else rate
+    wanted = zipf(spark, universe, 0.8)
+    start = spark.range(stations).select("id", F.rand(seed).alias("u"), (150 + F.floor(F.rand(seed + 1) * 351)).alias("depth"))
+    first = drawn(start, wanted).select("id", "depth", F.floor((F.col("rank") - 1) / 4).alias("start"))
+    played = first.select("id", "start", F.explode(F.sequence(F.lit(0), F.col("depth").cast("int") - 1)).alias("r"))
+    plays = 3.0 / F.pow(F.col("r") + 1, F.lit(0.7))
+    seen = played.where(F.rand(seed + 2) < 1 - missed(F.lit(rate), plays, F.lit(days))).select((F.least(F.col("start") + F.col("r"), F.lit(universe - 1)) + 1).alias("rank")).distinct()
+    asked = drawn(spark.range(searches).select(F.rand(seed + 3).alias("u")), wanted).select("rank")
+    found = asked.join(seen, "rank", "left_semi").agg(F.count("*").alias("n"))
+    return found.select((F.col("n") / searches).alias("hit_rate"))
+
+
 def wait_minutes(pool: Column, rate: Column) -> Column:
     """Minutes until one of a pool of stations is seen to play."""
     return 60 / (pool * rate / 24)

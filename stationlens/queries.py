@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .functions import text as T
 from .functions import titles as S
 from .functions import url as U
-from .operators import catalog, dedup, geo, lexicon, mounts, orientation, plays, siblings, simulate, simulcast, taxonomy
+from .operators import catalog, dedup, geo, lexicon, mounts, orientation, plays, safety, siblings, simulate, simulcast, taxonomy
 from .sources import readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -570,7 +570,7 @@ def variant_pick(spark, sf_dir):
     return siblings.variants(rows, "host", "path", "p_partkey").select("p_partkey")
 
 
-SQL_SETS = "sets AS (SELECT DISTINCT l_suppkey // 2 AS host, (l_suppkey // 2 // 3) * 40 + (l_partkey * 7 + l_suppkey // 2) % CASE WHEN l_suppkey // 2 % 3 = 0 THEN 20 ELSE 21 END AS path FROM lineitem)"
+SQL_SETS = "sets AS (SELECT DISTINCT l_suppkey // 2 AS host, (l_suppkey // 2 // 3) * 40 + (l_partkey * 11 + l_suppkey // 2) % CASE WHEN l_suppkey // 2 % 3 = 0 THEN 20 ELSE 21 END AS path FROM lineitem)"
 
 
 @query("alias_overlaps", f"WITH {SQL_SETS}, n AS (SELECT host, count(*) AS n FROM sets GROUP BY 1), met AS (SELECT x.host AS a, y.host AS b, count(*) AS c FROM sets x JOIN sets y USING (path) WHERE x.host <> y.host GROUP BY ALL) SELECT a, b FROM met JOIN n p ON p.host = a JOIN n q ON q.host = b WHERE (p.n > q.n OR (p.n = q.n AND a < b)) AND c / (p.n + q.n - c) >= 0.9")
@@ -580,7 +580,7 @@ def alias_overlaps(spark, sf_dir):
 
 def _sets(spark, sf_dir):
     half = F.expr("l_suppkey div 2")
-    return table(spark, sf_dir, "lineitem").select(half.alias("host"), (F.floor(half / 3) * 40 + (F.col("l_partkey") * 7 + half) % F.when(half % 3 == 0, 20).otherwise(21)).alias("path")).distinct()
+    return table(spark, sf_dir, "lineitem").select(half.alias("host"), (F.floor(half / 3) * 40 + (F.col("l_partkey") * 11 + half) % F.when(half % 3 == 0, 20).otherwise(21)).alias("path")).distinct()
 
 
 @query("alias_hosts")
@@ -628,3 +628,33 @@ def zipf_drawn_coverage(spark, sf_dir):
 @query("expected_wait", "SELECT pool, round(60 / (pool * 24 / (86400 / 233.0) / 24), 9) AS minutes FROM (VALUES (10), (100), (646)) v(pool)")
 def expected_wait(spark, sf_dir):
     return values(spark, "(10), (100), (646)", "pool").select("pool", F.round(simulate.wait_minutes(F.col("pool"), F.lit(simulate.sampling_rate())), 9).alias("minutes"))
+
+
+@query("search_hit_rate")
+def search_hit_rate(spark, sf_dir):
+    return simulate.hit_rate(spark, 230)
+
+
+@query(
+    "host_safety",
+    """SELECT url, CASE WHEN host LIKE '%.org' THEN 'unresolved' WHEN page_id % 5 = 0 THEN 'address' END AS unsafe FROM (SELECT url, min(page_id) OVER (PARTITION BY lower(regexp_extract(url, '^https?://([^/?#:]*)', 1))) AS page_id, lower(regexp_extract(url, '^https?://([^/?#:]*)', 1)) AS host FROM pages)""",
+)
+def host_safety(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    hosts = pages.groupBy(U.host(F.col("url")).alias("host")).agg(F.min("page_id").alias("first")).where("host not like '%.org'")
+    inner = F.when(F.col("first") % 5 == 0, F.array(F.lit("8.8.8.8"), F.lit("10.0.0.1"))).otherwise(F.array(F.lit("8.8.4.4"), F.lit("2606:4700::1")))
+    return safety.verdicts(pages.select("url"), hosts.select("host", F.explode(inner).alias("address"))).select("url", "unsafe")
+
+
+@query("replay_misses", "SELECT count(*) AS misses FROM pages WHERE url NOT IN (SELECT url FROM pages WHERE page_id % 4 <> 1)")
+def replay_misses(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    titles = pages.select(F.col("url").alias("uuid"))
+    return plays.misses(titles, pages.where("page_id % 4 <> 1").select(F.col("url").alias("uuid")).distinct())
+
+
+@query("discovery_funnel", f"WITH {SQL_SETS}, big AS (SELECT host FROM sets GROUP BY host HAVING count(*) >= 20) SELECT * FROM (SELECT 'hosts_probed' AS step, count(DISTINCT host) AS n FROM sets UNION ALL SELECT 'mounts_seen', count(*) FROM sets WHERE host % 7 <> 0 UNION ALL SELECT 'alias_hosts', count(DISTINCT host) FROM sets WHERE host % 7 = 0 UNION ALL SELECT 'passed_quality', count(*) FROM sets WHERE path % 2 = 0 UNION ALL SELECT 'picked_variants', count(*) FROM sets WHERE path % 4 = 0 UNION ALL SELECT 'already_known', count(*) FROM sets WHERE path % 8 = 0 UNION ALL SELECT 'new', count(*) FROM sets WHERE path % 8 = 4)")
+def discovery_funnel(spark, sf_dir):
+    sets = _sets(spark, sf_dir)
+    part = lambda of, is_: sets.where(F.col("path") % of == is_)
+    return siblings.funnel(sets, sets.where("host % 7 = 0").select("host").distinct(), part(2, 0), part(4, 0), part(8, 0), part(8, 4))

@@ -282,3 +282,36 @@ def test_dictionary_and_names(spark):
     index = spark.createDataFrame([("b", 1, "u2"), ("a", 2, "u1"), ("a", 1, "u2"), ("a", 3, "gone")], "artist_key string, rank int, uuid string")
     stations, rows = plays.dictionary_encoded(index, spark.createDataFrame([("u1",), ("u2",)], "uuid string"), ["artist_key", "rank"])
     assert {r.uuid: r.number for r in stations.collect()} == {"u2": 0, "u1": 1} and rows.count() == 3
+
+
+def test_resolved_hosts(spark):
+    from stationlens.operators import safety
+
+    hosts = spark.createDataFrame([("localhost",), ("no.such.host.invalid",)], "host string")
+    found = safety.resolved(hosts)
+    assert {r.host for r in found.collect()} == {"localhost"}
+    urls = spark.createDataFrame([("http://localhost/a",), ("http://no.such.host.invalid/",), ("ftp://x/",)], "url string")
+    assert {r.url: r.unsafe for r in safety.verdicts(urls, found).collect()} == {"http://localhost/a": "address", "http://no.such.host.invalid/": "unresolved", "ftp://x/": "scheme"}
+
+
+def test_hit_rate_grows(spark):
+    from stationlens.operators import simulate
+
+    small, large = (simulate.hit_rate(spark, n, searches=2000).first()[0] for n in (30, 400))
+    assert 0 < small < large < 1
+
+
+def test_report(spark):
+    rows = spark.createDataFrame([("kept", 2), ("dead", 1), ("duplicate", 1)], "reason string, n long")
+    stats = spark.createDataFrame([(1, 1, 0)], "kept long, with_genre long, with_geo long")
+    text = catalog.report(rows, stats, spark.createDataFrame([("rock", 1)], "genre string, n long"))
+    assert text.startswith("input: 3\n  - dead: 1") and text.endswith("genres: rock=1")
+
+
+def test_the_package_is_shipped_once(spark):
+    from stationlens.storage import ship
+
+    ship(spark)
+    files = list(spark.sparkContext._python_includes)
+    ship(spark)
+    assert list(spark.sparkContext._python_includes) == files and "stationlens.zip" in files
