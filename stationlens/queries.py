@@ -574,10 +574,10 @@ SQL_SETS = "sets AS (SELECT DISTINCT l_suppkey // 2 AS host, (l_suppkey // 2 //
 
 
 SQL_OVERLAPS = f"""{SQL_SETS}, n AS (SELECT host, count(*) AS n FROM sets GROUP BY 1), met AS (SELECT x.host AS a, y.host AS b, count(*) AS c FROM sets x JOIN sets y USING (path) WHERE x.host <> y.host GROUP BY ALL),
-overlaps AS (SELECT a, b FROM met JOIN n p ON p.host = a JOIN n q ON q.host = b WHERE (p.n > q.n OR (p.n = q.n AND a < b)) AND c / (p.n + q.n - c) >= 0.9)"""
+near AS (SELECT a, b FROM met JOIN n p ON p.host = a JOIN n q ON q.host = b WHERE (p.n > q.n OR (p.n = q.n AND a < b)) AND c / (p.n + q.n - c) >= 0.9)"""
 
 
-@query("alias_overlaps", f"WITH {SQL_OVERLAPS} SELECT a, b FROM overlaps")
+@query("alias_overlaps", f"WITH {SQL_OVERLAPS} SELECT a, b FROM near")
 def alias_overlaps(spark, sf_dir):
     return siblings.overlaps(_sets(spark, sf_dir))
 
@@ -589,7 +589,7 @@ def _sets(spark, sf_dir):
 
 @query(
     "alias_hosts",
-    f"""WITH RECURSIVE {SQL_OVERLAPS}, earlier AS (SELECT b, list(a) AS before FROM overlaps GROUP BY b),
+    f"""WITH RECURSIVE {SQL_OVERLAPS}, earlier AS (SELECT b, list(a) AS before FROM near GROUP BY b),
     ordered AS (SELECT host, row_number() OVER (ORDER BY n DESC, host) AS i, coalesce(before, []) AS before FROM n LEFT JOIN earlier ON b = host),
     step(i, kept) AS (SELECT 0::BIGINT, CAST([] AS BIGINT[]) UNION ALL SELECT o.i, CASE WHEN list_has_any(s.kept, o.before) THEN s.kept ELSE list_append(s.kept, o.host) END FROM step s JOIN ordered o ON o.i = s.i + 1)
     SELECT host FROM ordered WHERE NOT list_contains((SELECT arg_max(kept, i) FROM step), host)""",
