@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
+from . import shared
 
 SEED = 5
 COVERAGE = 0.5
@@ -152,6 +153,7 @@ def matches(docs: DataFrame, items: list[tuple[int, str | None]], key: str, text
     schema = pa.schema([("doc_id", pa.int64()), *((n, pa.int64()) for n in ("item_id", "n_tiles", "n_covered", "n_item_tokens")), ("coverage", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared.kept("decontaminate")
         block = Items(items, seed)
         for batch in batches:
             rows = []

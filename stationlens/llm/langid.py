@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import shared
+
 DIM = 4096
 SAMPLE = 500
 CLUSTERS = 4
@@ -117,6 +119,7 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str
     place = F.pmod(F.xxhash64(F.coalesce("k", F.lit(""))), F.lit(1 << 20)) / F.lit(float(1 << 20))
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared.kept("langid")
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -126,9 +129,7 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str
                     [part.column("lang"), pa.array([r.astype(np.uint16).tobytes() for r in rows], pa.binary()), pa.array([c[r].tobytes() for c, r in zip(counts, rows)], pa.binary()), pa.array(letters)], names=["lang", "at", "counts", "letters"]
                 )
 
-    from .shared import discard, materialize
-
-    kept = materialize(rows.where(place < share).mapInArrow(sparse, "lang string, at binary, counts binary, letters long"), "langid")
+    sample_rows = shared.materialize(rows.where(place < share).mapInArrow(sparse, "lang string, at binary, counts binary, letters long"), "langid")
 
     def dense(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         out = np.zeros((table.num_rows, DIM), np.float32)
@@ -140,7 +141,7 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str
         counts, _ = dense(table)
         return pa.table({"lang": [table.column("lang")[0].as_py()], "n": [table.num_rows], "df": [(counts > 0).sum(axis=0).astype(np.int64).tobytes()]})
 
-    found = kept.groupBy("lang").applyInArrow(frequency, "lang string, n long, df binary").collect()
+    found = sample_rows.groupBy("lang").applyInArrow(frequency, "lang string, n long, df binary").collect()
     total = sum(r["n"] for r in found)
     df = sum(np.frombuffer(r["df"], np.int64) for r in found) if found else np.zeros(DIM)
     idf = np.log((1 + total) / (1 + df)).astype(np.float32) + np.float32(0.1)
@@ -159,8 +160,8 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str
         lang = table.column("lang")[0].as_py()
         return pa.table({"lang": [lang] * len(found), "centre": [c.astype(np.float32).tobytes() for c in found], "floor": [floor] * len(found)})
 
-    got = sorted(kept.groupBy("lang").applyInArrow(centres, "lang string, centre binary, floor double").collect(), key=lambda r: (r["lang"], r["centre"]))
-    discard(kept)
+    got = sorted(sample_rows.groupBy("lang").applyInArrow(centres, "lang string, centre binary, floor double").collect(), key=lambda r: (r["lang"], r["centre"]))
+    shared.discard(sample_rows)
     return Model([r["lang"] for r in got], idf, np.stack([np.frombuffer(r["centre"], np.float32) for r in got]) if got else np.zeros((0, DIM), np.float32), np.array([r["floor"] for r in got], np.float32))
 
 
@@ -171,6 +172,7 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     out = shape.withColumns({"lang_pred": F.lit("").cast("string"), "score": F.lit(0.0), "rejected": F.lit(False)}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared.kept("langid")
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)

@@ -35,9 +35,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import components
 from . import kernels as K
 from . import shared
-from .components import components
 
 SMALL = 48
 GROUP = 1024
@@ -88,6 +88,7 @@ def signature(found: np.ndarray, slots: int) -> np.ndarray:
 
 
 def _sign(batches: Iterator[pa.RecordBatch], scheme: Scheme) -> Iterator[pa.RecordBatch]:
+    shared.kept("neardup")
     for batch in batches:
         for at in range(0, batch.num_rows, 2048):
             part = batch.slice(at, 2048)
@@ -118,6 +119,7 @@ class _Union:
 
 def _confirm(batches: Iterator[pa.RecordBatch], scheme: Scheme) -> Iterator[pa.RecordBatch]:
     """Links of the groups: of a star's centre (part < 0), or of two blocks of the bucket of key ``part``."""
+    shared.kept("neardup")
     for gid, rows in shared.runs(batches, "gid"):
         ids = rows.column("doc_id").to_pylist()
         part = rows.column("part")[0].as_py()

@@ -1,71 +1,21 @@
-"""What the operators of this subpackage share: reading, cutting lineage, streaming groups."""
+"""What the operators of this subpackage share: reading, sizing, streaming groups."""
 
 from __future__ import annotations
 
-import contextlib
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+from ..storage import discard, materialize
 
+__all__ = ["binaries", "discard", "kept", "let", "materialize", "parts", "runs", "size_in_bytes", "table"]
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share; one of our own only on a single machine that names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    set_before = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if set_before.isDefined():
-        return set_before.get().rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stationlens-"))
-    return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
-
-
-@contextlib.contextmanager
-def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage, survives lost executors.
-
-    The shuffle files of the query that wrote it are let go, so that an operator of
-    several steps holds those of one step at a time.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    with setting(spark, CLEANUP, "true"):
-        df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._stationlens_path = path
-    return out
-
-
-def discard(*frames: DataFrame) -> None:
-    """Delete materialized tables that nothing will read again."""
-    for df in frames:
-        if path := getattr(df, "_stationlens_path", None):
-            sc = df.sparkSession.sparkContext
-            at = sc._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def size_in_bytes(df: DataFrame, column: str) -> int:
     """About how large the input is: from its files, or else from the column itself."""
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
@@ -104,6 +54,18 @@ def runs(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[tuple[objec
         yield last, pa.Table.from_batches(held)
 
 
+_kept: dict[str, object] = {}
+
+
+def kept(owner: str, make: Callable[[], object] | None = None) -> object:
+    """What an operator keeps in a Python worker between its tasks; that of others goes, so a pipeline's workers hold one."""
+    for other in [k for k in _kept if k != owner]:
+        del _kept[other]
+    if make and owner not in _kept:
+        _kept[owner] = make()
+    return _kept.get(owner)
+
+
 def binaries(column: pa.ChunkedArray | pa.Array) -> list[bytes | None]:
     """The UTF-8 bytes of a string column."""
     return column.cast(pa.large_binary()).to_pylist()
