@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html, langid, lines, neardup, packing, recompression, secrets, spotsigs, substrings
+from . import decontaminate, html, langid, lines, neardup, oracles, packing, recompression, secrets, spotsigs, substrings
 from .shared import table
 
 #: Share of documents held out of the language model: this remainder of crc32(doc_id) by HELD_OUT_OF.
@@ -65,4 +65,4 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OPERATORS = (op1_line_dedup, op2_minhash, op3_secrets, op4_recompression, op5_packing, op6_langid, op7_spotsigs, op8_decontaminate, op9_html, op10_suffix_dedup)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in OPERATORS}
-ORACLES: dict[str, str] = {"op1_line_dedup": lines.SQL}
+ORACLES: dict[str, str] = oracles.ORACLES
