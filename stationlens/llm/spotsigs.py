@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from . import shared
+
 # Common words of four languages, as any stop word list has them.
 ANCHORS = "the of and to is that / der die und den das ist / le la les de et une / el los que en y las".replace("/", "").split()
 CHAIN = 2
@@ -60,7 +62,7 @@ def compared_with_edits(docs: DataFrame, key: str = "doc_id", text: str = "text"
     rows = rows.withColumns({"tie": F.xxhash64("text"), "span": F.coalesce(F.floor(F.col("doc_id") / SPAN), F.lit(-(1 << 62)))})
     # the document after a span's last is the first of the next lower span: found from the ids alone
     ids = docs.select(F.col(key).cast("long").alias("doc_id")).withColumn("span", F.coalesce(F.floor(F.col("doc_id") / SPAN), F.lit(-(1 << 62))))
-    spans = ids.groupBy("span").agg(F.max("doc_id").alias("head"))
+    spans = shared.materialize(ids.groupBy("span").agg(F.max("doc_id").alias("head")), "spans")
     in_order = W.orderBy(F.desc("span"))
     follows = spans.select("span", F.coalesce(F.lead("span").over(in_order), F.first("span").over(in_order)).alias("next_span"))
     heads = spans.select(F.col("span").alias("next_span"), "head").join(follows, "next_span").select("span", "next_span", "head")
