@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -42,7 +42,7 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
         step = np.full(size, _INVERSE if inverse else _BASE, dtype=U)
         step[0] = 1
         out = np.cumprod(step, dtype=U)
-        if size > 4 * BLOCK_BYTES:  # a huge document's table isn't kept
+        if size > 16 * BLOCK_BYTES:  # a huge document's table isn't kept
             return out[:n]
         have = _powers[name] = out
     return have[:n]

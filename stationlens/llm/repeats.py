@@ -37,8 +37,10 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from . import shared
 
-#: Input file bytes of a block, and of the share of the input that a bucket answers for.
-BLOCK = 4 << 20
+#: Input file bytes of a task, and of the share of the input that a bucket answers for.
+SHARE = 4 << 20
+#: Blocks of documents to a task: what a task holds at once is a block.
+BLOCKS = 4
 #: Buckets at most; beyond it buckets grow with the input.
 MOST_BUCKETS = 8192
 
@@ -57,12 +59,21 @@ class Anchors:
     def joined(several: list[Anchors]) -> Anchors:
         cat = lambda field: np.concatenate([getattr(a, field) for a in several])
         ends = np.cumsum([len(a.name) for a in several])
+        counts = cat("count")  # the closure doesn't hold the result: a cycle would keep its arrays until the collector runs
 
         def window(which: np.ndarray) -> np.ndarray:
             part = np.searchsorted(ends, which, side="right")
-            return np.concatenate([a.window(which[part == k] - (ends[k] - len(a.name))) for k, a in enumerate(several)])
+            count = counts[which]
+            begin = np.cumsum(count) - count
+            hashes = np.empty(int(count.sum()), dtype=K.U)
+            for k, a in enumerate(several):
+                here = np.flatnonzero(part == k)
+                n = count[here]
+                place = np.repeat(begin[here], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                hashes[place] = a.window(which[here] - (ends[k] - len(a.name)))
+            return hashes
 
-        return Anchors([u for a in several for u in a.units], cat("text"), cat("first"), cat("offset"), cat("count"), cat("name"), cat("span"), window)
+        return Anchors([u for a in several for u in a.units], cat("text"), cat("first"), cat("offset"), counts, cat("name"), cat("span"), window)
 
 
 #: Texts (as bytes) to their anchors, with the number of units of each text.
@@ -106,15 +117,31 @@ def pack(**arrays) -> bytes:
     return pickle.dumps(arrays, protocol=5)
 
 
-def _emit(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ROWS)], schema=_ROWS)
+def _question(name: np.ndarray, span: np.ndarray, least: np.ndarray, times: np.ndarray) -> bytes:
+    """17 bytes for an entry: the least documents as places in a list, the name in 48 bits."""
+    docs, place = np.unique(least, return_inverse=True)
+    wide = len(docs) >= 1 << 16
+    parts = (np.array([len(name), len(docs), wide], np.int64), docs, span, (name & K.U(0xFFFFFFFF)).astype(np.uint32), (name >> K.U(32)).astype(np.uint16), place.astype(np.int64 if wide else np.uint16), times)
+    return b"".join(x.tobytes() for x in parts)
+
 
+def _read_question(body: bytes) -> tuple[np.ndarray, ...]:
+    n, m, wide = (int(x) for x in np.frombuffer(body, np.int64, 3))
+    at = 24
+    out = []
+    for kind, count in ((np.int64, m), (np.uint64, n), (np.uint32, n), (np.uint16, n), (np.int64 if wide else np.uint16, n), (np.uint8, n)):
+        out.append(np.frombuffer(body, kind, count, at))
+        at += out[-1].nbytes
+    docs, span, low, high, place, times = out
+    return low.astype(K.U) | (high.astype(K.U) << K.U(32)), span, docs[place], times
 
-def _put(out: list[tuple], size: int) -> bool:
-    return sum(len(r[3]) for r in out) > size
+
+def _emit(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ROWS)], schema=_ROWS)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], find: Finder, buckets: int) -> Iterator[tuple[int, Block, list[dict], list[dict]]]:
+    shared.kept("repeats")
     for number, rows in shared.runs(batches, "block"):
         kind = rows.column("kind").to_numpy()
         bodies = rows.column("body")
@@ -130,24 +157,20 @@ def ask(batches, find: Finder, buckets: int):
         for b in range(buckets):
             lo, hi = block.edges[b], block.edges[b + 1]
             if lo < hi:
-                docs, place = np.unique(block.least[lo:hi], return_inverse=True)
-                low = (block.name[lo:hi] & K.U(0xFFFFFFFF)).astype(np.uint32)
-                high = (block.name[lo:hi] >> K.U(32)).astype(np.uint16)
-                out.append((b, 0, number, pack(low=low, high=high, span=block.span[lo:hi], docs=docs, least=place.astype(np.uint16 if len(docs) < 1 << 16 else np.int64), times=block.times[lo:hi])))
+                out.append((b, 0, number, _question(block.name[lo:hi], block.span[lo:hi], block.least[lo:hi], block.times[lo:hi])))
         if out:
             yield _emit(out)
 
 
 def answer(batches):
     """Step 2. Answers (kind 1, to blocks) and what is open (kind 3, kept by bucket)."""
+    shared.kept("repeats")
     for bucket, rows in shared.runs(batches, "block"):
         blocks = rows.column("doc_id").to_numpy()
-        asked = [pickle.loads(b) for b in rows.column("body").to_pylist()]
-        sizes = [len(a["low"]) for a in asked]
-        name = np.concatenate([a["low"].astype(K.U) | (a["high"].astype(K.U) << K.U(32)) for a in asked])
-        span = np.concatenate([a["span"] for a in asked])
-        least = np.concatenate([a["docs"][a["least"]] for a in asked])
-        times = np.concatenate([a["times"] for a in asked]).astype(np.int64)
+        asked = [_read_question(b) for b in rows.column("body").to_pylist()]
+        sizes = [len(a[0]) for a in asked]
+        name, span, least, times = (np.concatenate(x) for x in zip(*asked))
+        times = times.astype(np.int64)
         asker = np.repeat(np.arange(len(asked)), sizes)
         entry = np.concatenate([np.arange(n) for n in sizes])
         del asked
@@ -206,6 +229,7 @@ def send(batches, find: Finder, buckets: int):
 
 def resolve(batches):
     """Step 4: runs of repeated windows of each open span, to every block that has it."""
+    shared.kept("repeats")
     for bucket, rows in shared.runs(batches, "block"):
         kind = rows.column("kind").to_numpy()
         bodies = [pickle.loads(b) for b in rows.column("body").to_pylist()]
@@ -284,10 +308,9 @@ def repeated(docs: DataFrame, key: str, text: str, find: Finder, result: Callabl
     """``result`` of every block, with all its repeated windows marked."""
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    size = shared.size_in_bytes(docs.select(text), text)
-    n = shared.parts(spark, size, BLOCK)
+    n = shared.parts(spark, shared.size_in_bytes(docs, text), SHARE)
     buckets = min(n, MOST_BUCKETS)
-    bodies = rows.select(F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0))), F.lit(n)).alias("block"), F.lit(0).alias("kind"), "doc_id", F.encode("text", "utf-8").alias("body"))
+    bodies = rows.select(F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0))), F.lit(n * BLOCKS)).alias("block"), F.lit(0).alias("kind"), "doc_id", F.encode("text", "utf-8").alias("body"))
 
     def dealt(*frames: DataFrame, into: int) -> DataFrame:
         out = frames[0]

@@ -36,12 +36,12 @@ _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("kept", pa.binary()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(_SPAN))])
 
 
-def finder(width: int = WIDTH, digit: int = DIGIT) -> repeats.Finder:
+def finder(width: int = WIDTH, digit: int = DIGIT, chunk: int = K.BLOCK_BYTES) -> repeats.Finder:
     digit = min(digit, max(1, width // 2))
 
     def find(texts: list[bytes]) -> repeats.Anchors:
         parts = []
-        for at, buffer, starts, ends in K.blocks(texts):
+        for at, buffer, starts, ends in K.blocks(texts, chunk):
             n = len(buffer)
             sums = K.prefix_sums(K.byte_codes(buffer))
             begin = np.arange(max(0, n - digit + 1))
@@ -52,6 +52,7 @@ def finder(width: int = WIDTH, digit: int = DIGIT) -> repeats.Finder:
             np.add.at(valid, ends[long] - width + 1, -1)
             place, first, count = K.winnow(hashes, width - digit + 1, np.cumsum(valid)[:n] > 0)
             text = np.searchsorted(starts, first, side="right") - 1
+            # mixed anew: the least of many hashes are small, and buckets go by the size of the name
 
             def window(which, sums=sums, first=first, count=count):
                 owner = np.repeat(which, count[which])
@@ -59,7 +60,7 @@ def finder(width: int = WIDTH, digit: int = DIGIT) -> repeats.Finder:
                 begin = first[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
                 return K.range_hash(sums, begin, begin + width, seed=5)
 
-            parts.append(repeats.Anchors((ends - starts).tolist(), text + at, first - starts[text], first - place, count, hashes[place] >> K.U(16), K.range_hash(sums, first, first + count - 1 + width, seed=3), window))
+            parts.append(repeats.Anchors((ends - starts).tolist(), text + at, first - starts[text], first - place, count, K.mix(hashes[place], 23) >> K.U(16), K.range_hash(sums, first, first + count - 1 + width, seed=3), window))
         return repeats.Anchors.joined(parts) if parts else _none()
 
     return find
@@ -117,6 +118,6 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SCHEMA)], schema=_SCHEMA)
 
 
-def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
+def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, chunk: int = K.BLOCK_BYTES) -> DataFrame:
     """Each document's kept bytes, and the spans (in bytes, end exclusive) that were removed."""
-    return repeats.repeated(docs, key, text, finder(width), result(width), SCHEMA)
+    return repeats.repeated(docs, key, text, finder(width, chunk=chunk), result(width), SCHEMA)
