@@ -99,8 +99,8 @@ def parse(page: str) -> Node:
             label = f"{name}.{found.get('class', '')}"
             apart = apart or role in ROLES or "hidden" in found or found.get("aria-hidden") == "true" or (not region and bool(WORDS.search(words)) and name not in ("html", "body"))
             region = region or role in ("main", "article")
-        if name in CLOSES or name not in INLINE:
-            shut = CLOSES.get(name, ()) if name in CLOSES else {"p"}
+        if name in CLOSES or name == "hr" or name not in INLINE | VOID | RAW:
+            shut = CLOSES.get(name, {"p"})
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].name in shut:
                     del stack[k:]
@@ -301,6 +301,8 @@ def _blocks(node: Node, out: list[str]) -> None:
             close()
         elif x.name == "":
             run.append(x.text)
+        elif x.name == "br":
+            run.append(" ")
         elif x.apart:
             if x.name not in INLINE:
                 close()
