@@ -11,9 +11,11 @@ in one task is a few small wrappers, not a host's pages.
 
 A wrapper is matched against each of its host's pages to get the main text:
 
-* The region is <article> or <main> (or their roles) where the page has one, else
-  the slot group that holds the most text outside links.
-* Inside it, groups of menus, headers, footers, sidebars, notices, adverts, forms,
+* The regions are the wrapper's groups of <article> or <main> (or their roles), else
+  the group whose slots hold the most text outside links over all pages. A page gives
+  what stands at the place of these groups; a page whose wrapper was pruned and that
+  matches no group is taken as a host of its own.
+* Inside, groups of menus, headers, footers, sidebars, notices, adverts, forms,
   scripts and comments are left out, by element, role, or a word of class or id.
 * Without a marked region, text that the wrapper holds as template text of a host
   with ``AGREE`` or more pages is left out too; template text within a marked region is
@@ -119,9 +121,11 @@ def parse(page: str) -> Node:
     return root
 
 
-# A wrapper is a nested list [label, times, pages, repeated, optional, text, kids]:
+# A wrapper is a nested list [label, times, pages, repeated, optional, text, kids, kind, mass]:
 # times it was seen in all and pages that had it; text is its template text, None for
-# a slot, "" for an element.
+# a slot, "" for an element; kind tells regions and what stands apart; mass is the
+# length of its own texts outside links, summed over pages.
+PLAIN, REGION, APARTNESS, LINK, PARAGRAPH = range(5)
 
 
 def wrapper_of(node: Node, depth: int = 0) -> list:
@@ -131,10 +135,11 @@ def wrapper_of(node: Node, depth: int = 0) -> list:
             if k.name == "":
                 words = SPACE.sub(" ", k.text).strip()
                 if words:
-                    kids.append(["#text", 1, 1, False, False, words if len(words) <= 200 else None, []])
+                    kids.append(["#text", 1, 1, False, False, words if len(words) <= 200 else None, [], PLAIN, len(words)])
             elif k.name not in VOID:
                 kids.append(wrapper_of(k, depth + 1))
-    return [node.label or node.name, 1, 1, False, False, "", fold(kids)]
+    kind = APARTNESS if node.apart else REGION if node.region else LINK if node.name == "a" else PARAGRAPH if node.name == "p" or node.name in INLINE else PLAIN
+    return [node.label or node.name, 1, 1, False, False, "", fold(kids), kind, 0]
 
 
 def fold(kids: list[list]) -> list[list]:
@@ -162,6 +167,7 @@ def align(into: list, other: list, same_page: bool = False) -> None:
         into[2] += other[2]
     into[3] = into[3] or other[3]
     into[4] = into[4] or other[4]
+    into[8] += other[8]
     if into[5] != other[5]:
         into[5] = None
     into[6] = fold(_merge(into[6], other[6], same_page))
@@ -234,54 +240,58 @@ def expression(w: list) -> str:
     return body if not (w[3] or w[4]) else f"({body})" + ("*" if w[3] and w[4] else "+" if w[3] else "?")
 
 
-def extract(page: str | None, wrapper: list | None) -> str:
-    if not page:
-        return ""
-    root = parse(page)
-    regions = _regions(root)
-    pages = wrapper[2] if wrapper else 0
-    if regions:
+class Extractor:
+    """A wrapper made ready: where its regions stand, and its template texts."""
+
+    def __init__(self, wrapper: list):
+        self.paths: set[tuple[str, ...]] = set()
+        self._find(wrapper, (wrapper[0],))
+        self.marked = bool(self.paths)
+        self.template: set[str] = set()
+        if not self.marked:
+            at, path = wrapper, (wrapper[0],)
+            while True:
+                total = _mass(at)
+                child = max((k for k in at[6] if k[7] in (PLAIN, REGION) and k[0] != "#text"), key=_mass, default=None)
+                if child is None or total == 0 or _mass(child) < 0.6 * total:
+                    break
+                at, path = child, (*path, child[0])
+            self.paths.add(path)
+            if wrapper[2] >= AGREE:
+                self.template = {x[5] for x in _walk(wrapper) if x[0] == "#text" and x[5] and x[2] >= max(AGREE, 0.9 * wrapper[2])}
+
+    def _find(self, w: list, path: tuple[str, ...]) -> bool:
+        """Add the outermost regions; <main> gives way to the regions that it holds."""
+        if w[7] == APARTNESS:
+            return False
+        inner = [self._find(k, (*path, k[0])) for k in w[6]] if w[7] != REGION or not w[0].startswith("article") else []
+        if w[7] == REGION and not any(inner):
+            self.paths.add(path)
+            return True
+        return any(inner)
+
+    def __call__(self, page: str | None) -> str:
+        if not page:
+            return ""
+        root = parse(page)
+        found, todo = [], [(root, (root.name,))]
+        while todo:
+            x, path = todo.pop()
+            if path in self.paths:
+                found.append(x)
+            else:
+                todo += [(k, (*path, k.label or k.name)) for k in reversed(x.kids) if k.name]
+        if not found:
+            return Extractor(wrapper_of(root))(page) if self.paths else ""
         blocks: list[str] = []
-        for r in regions:
-            _blocks(r, blocks)
-    else:
-        blocks = []
-        _blocks(_densest(root), blocks)
-        template = {x[5] for x in _walk(wrapper) if x[0] == "#text" and x[5] and x[2] >= AGREE and x[2] >= 0.9 * pages} if wrapper and pages >= AGREE else set()
-        blocks = [b for b in blocks if b not in template]
-    return "\n".join(blocks)
-
-
-def _regions(node: Node) -> list[Node]:
-    """The outermost marked regions in page order; <main> gives way to articles that it holds."""
-    out: list[Node] = []
-    todo = [node]
-    while todo:
-        x = todo.pop()
-        if x.apart:
-            continue
-        if x.region:
-            inner = [a for k in x.kids for a in _regions(k)] if x.name != "article" else []
-            out += inner or [x]
-        else:
-            todo += [k for k in reversed(x.kids) if k.name]
-    return out
-
-
-def _densest(node: Node) -> Node:
-    """Without a marked region: go down while one child holds most of the text outside links."""
+        for x in found:
+            _blocks(x, blocks)
+        return "\n".join(b for b in blocks if b not in self.template)
 
-    def mass(x: Node) -> int:
-        if x.apart or x.name == "a":
-            return 0
-        return len(x.text) if x.name == "" else sum(map(mass, x.kids))
 
-    while True:
-        total = mass(node)
-        child = max((k for k in node.kids if k.name and k.name not in INLINE and k.name != "p"), key=mass, default=None)
-        if child is None or total == 0 or mass(child) < 0.6 * total:
-            return node
-        node = child
+def _mass(w: list) -> int:
+    """The length of the texts in a group, without links and what stands apart."""
+    return 0 if w[7] in (APARTNESS, LINK) else w[8] + sum(map(_mass, w[6]))
 
 
 def _blocks(node: Node, out: list[str]) -> None:
@@ -373,15 +383,15 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
     out = joined.select("page_id", "url").withColumns({"text": F.lit("").cast("string"), "n_chars": F.lit(0).cast("long")}).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read: dict[str, list] = {}
+        read: dict[str | None, Extractor] = {}
         for batch in batches:
             texts = []
             for page, w in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                if w is not None and w not in read:
+                if w not in read:
                     if len(read) > 1000:
                         read.clear()
-                    read[w] = json.loads(w)
-                texts.append(extract(page, read.get(w)))
+                    read[w] = Extractor(json.loads(w)) if w else Extractor(wrapper_of(Node("#")))
+                texts.append(read[w](page))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     return joined.mapInArrow(run, out)
