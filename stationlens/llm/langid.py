@@ -30,7 +30,7 @@ DIM = 4096
 SAMPLE = 500
 CLUSTERS = 4
 #: Texts of so many letters at least are rejected by distance; shorter ones say too little for that.
-LETTERS = 60
+LETTERS = 200
 #: A text is rejected beyond this share of the cosine that the least typical training texts reach.
 SLACK = 0.6
 UNKNOWN = "und"
