@@ -31,17 +31,24 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(2) Keep the document of least id of each component; of rows that repeat its id, one."""
-    found = neardup.near_duplicates(docs, scheme=neardup.Scheme(words=5, percent=80, chunks=5))
-    kept = found.where("kept and doc_id is not null").select("doc_id").distinct().hint("merge")
+    found = neardup.near_duplicates(docs, scheme=neardup.Scheme(words=5, percent=80, chunks=5)).select("doc_id", "kept")
+    found = materialize(found, "kept").where("doc_id is not null")
+    # what goes, and ids that repeat, are the few: only they are joined with the texts
+    gone = materialize(found.where("not kept").select("doc_id").distinct(), "gone")
+    repeated = materialize(found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated")
+    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    if repeated.isEmpty():
+        return left
     one = W.partitionBy("doc_id").orderBy(F.xxhash64(*(F.col(c) for c in docs.columns if c != "doc_id")))
-    named = docs.join(kept, "doc_id", "left_semi").withColumn("place_", F.row_number().over(one)).where("place_ = 1").select(*docs.columns)
-    return named.unionByName(docs.where("doc_id is null"))
+    first = left.join(repeated, "doc_id", "left_semi").withColumn("place_", F.row_number().over(one)).where("place_ = 1")
+    return left.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(first.select(*docs.columns))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(8) Documents that cover half a benchmark item or more go."""
     found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    gone = materialize(found.select("doc_id").distinct(), "contaminated")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
