@@ -26,6 +26,7 @@ equal when 112 bits agree.
 
 from __future__ import annotations
 
+import math
 import pickle
 from collections.abc import Callable, Iterator
 
@@ -37,12 +38,13 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from . import shared
 
-#: Input file bytes of a task, and of the share of the input that a bucket answers for.
+#: Input file bytes of a task, and of the share of the input that a bucket answers for, at least.
 SHARE = 4 << 20
 #: Blocks of documents to a task: what a task holds at once is a block.
 BLOCKS = 4
-#: Buckets at most; beyond it buckets grow with the input.
-MOST_BUCKETS = 8192
+#: Every block sends to every bucket: shares grow with the root of the input, so that a message
+#: stands for so many bytes of it (22 MB a share at 30 GB, 1.3 GB at 100 TB).
+MESSAGE = 16 << 10
 
 ROWS = "block long, kind int, doc_id long, body binary"
 _ROWS = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("doc_id", pa.int64()), ("body", pa.binary())])
@@ -308,8 +310,8 @@ def repeated(docs: DataFrame, key: str, text: str, find: Finder, result: Callabl
     """``result`` of every block, with all its repeated windows marked."""
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    n = shared.parts(spark, shared.size_in_bytes(docs, text), SHARE)
-    buckets = min(n, MOST_BUCKETS)
+    size = shared.size_in_bytes(docs, text)
+    n = buckets = shared.parts(spark, size, max(SHARE, math.isqrt(MESSAGE * size)))
     bodies = rows.select(F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0))), F.lit(n * BLOCKS)).alias("block"), F.lit(0).alias("kind"), "doc_id", F.encode("text", "utf-8").alias("body"))
 
     def dealt(*frames: DataFrame, into: int) -> DataFrame:
