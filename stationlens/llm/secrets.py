@@ -26,9 +26,11 @@ from .shared import let
 
 # The patterns and least lengths of the base kinds.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-ACCESS = r"AKIA[A-Z0-9]+"
-HEX = r"[0-9a-f]+"
-LEAST = {"assign": 8, "access": 16, "hex": 32}
+ACCESS = r"AKIA[A-Z0-9]{12,}"
+HEX = r"[0-9a-f]{32,}"
+#: Least length of an assigned value. In the other two the length is part of the pattern: their matches are whole runs, so
+#: a match that is too short holds none that is long enough.
+LEAST = 8
 KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_mixed")
 
 WINDOW = 20
@@ -39,14 +41,17 @@ ALLOWED = r"(?i)EXAMPLE|SAMPLE|0123456789|abcdefghij|123456789012|^[0-9a-f]{8}-[
 PIECE = 256
 
 
+SPAN = "struct<kind:string,start:int,end:int,value:string>"
+
+
 def _scan(pattern: str, possible: Column, kind: str) -> Column:
     """Matches of a pattern: array of (start, end, value); value is the pattern's group, or the match."""
     whole = F.lit(rf"(?s)(.*?)(?:({pattern})|\z)")
-    value = 3 if "([" in pattern else 2
+    value = 3 if pattern == ASSIGN else 2
     empty = F.array().cast("array<string>")
     part = lambda group: F.when(possible, F.regexp_extract_all("text", whole, F.lit(group))).otherwise(empty)
     parts = F.arrays_zip(part(1).alias("before"), part(2).alias("match"), part(value).alias("value"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<kind:string,start:int,end:int,value:string>>").alias("found"))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<" + SPAN + ">").alias("found"))
 
     def step(state: Column, p: Column) -> Column:
         begin = state["at"] + F.char_length(p["before"])
@@ -126,20 +131,29 @@ def joined(spans: str | Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _found(possible: Column) -> Column:
+    """All spans of a text of which something is possible."""
+    assign = F.filter(_scan(ASSIGN, possible["assign"], "assign"), lambda s: F.char_length(s["value"]) >= LEAST)
+    base = F.struct(assign.alias("assign"), _scan(ACCESS, possible["access"], "access").alias("access"), _scan(HEX, possible["hex"], "hex").alias("hex"))
+
+    def high(kind: str) -> Column:
+        characters, threshold = CLASSES[kind]
+        return let(_scan(rf"{characters}{{{WINDOW},}}", possible["entropy"], kind), lambda candidates: _high(candidates, kind, threshold))
+
+    def with_base(kinds: Column, base: Column) -> Column:
+        free = lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+        return F.struct(kinds["assign"].alias("assign"), kinds["access"].alias("access"), kinds["hex"].alias("hex"), base.alias("base"), _order(F.concat(base, F.filter(F.concat(*map(high, CLASSES)), free))).alias("spans"))
+
+    return let(base, lambda kinds: let(_order(F.concat(kinds["assign"], kinds["access"], kinds["hex"])), lambda base: with_base(kinds, base)))
+
+
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, base (spans of the base kinds) and spans (all), as arrays of (kind, start, end, value) in order."""
+    """doc_id, assign, access, hex, base (spans of these kinds) and spans (all), as arrays of (kind, start, end, value) in order."""
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    low = F.lower("text")
-    rows = rows.withColumn("p_assign", low.contains("passw") | low.contains("secret") | low.contains("token") | low.contains("apikey") | low.contains("api_key"))
-    rows = rows.withColumn("p_access", F.col("text").contains("AKIA")).withColumn("p_mixed", F.col("text").rlike(rf"{CLASSES['entropy_mixed'][0]}{{{WINDOW}}}"))
-    rows = rows.withColumn("p_hex", F.col("p_mixed") & F.col("text").rlike(r"[0-9a-f]{32}"))
-    rows = rows.withColumn("assign", _scan(ASSIGN, F.col("p_assign"), "assign")).withColumn("access", _scan(ACCESS, F.col("p_access"), "access")).withColumn("hex", _scan(HEX, F.col("p_hex"), "hex"))
-    for kind in ("assign", "access", "hex"):
-        rows = rows.withColumn(kind, F.filter(kind, lambda s: F.char_length(s["value"]) >= LEAST[kind]))  # noqa: B023
-    rows = rows.withColumn("base", _order(F.concat("assign", "access", "hex")))
-    for kind, (characters, threshold) in CLASSES.items():
-        candidates = _scan(rf"{characters}{{{WINDOW},}}", F.col("p_mixed"), kind)
-        rows = rows.withColumn("candidates", candidates).withColumn(kind, _high("candidates", kind, threshold))
-    free = lambda base, s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    spans = let(F.col("base"), lambda base: _order(F.concat(base, F.filter(F.concat(*CLASSES), lambda s: free(base, s)))))
-    return rows.withColumn("spans", spans).select("doc_id", "assign", "access", "hex", "base", "spans")
+    names = let(F.lower("text"), lambda low: low.contains("passw") | low.contains("secret") | low.contains("token") | low.contains("apikey") | low.contains("api_key"))
+    run = F.col("text").rlike(rf"{CLASSES['entropy_mixed'][0]}{{{WINDOW}}}")
+    tests = F.struct(names.alias("assign"), F.col("text").contains("AKIA").alias("access"), (run & F.col("text").rlike(r"[0-9a-f]{32}")).alias("hex"), run.alias("entropy"))
+    none = F.array().cast(f"array<{SPAN}>")
+    nothing = F.struct(*(none.alias(c) for c in ("assign", "access", "hex", "base", "spans")))
+    found = let(tests, lambda possible: F.when(possible["assign"] | possible["access"] | possible["entropy"], _found(possible)).otherwise(nothing))
+    return rows.select("doc_id", found.alias("found")).select("doc_id", "found.*")
