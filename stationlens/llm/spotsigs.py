@@ -2,8 +2,8 @@
 
 The lower-cased text is taken as words of letters and digits. Each common word
 (``ANCHORS``) opens a chain: the next ``CHAIN`` content words after it, anchors between
-them passed over. A chain is a signature, hashed to 32 bits; a text's fingerprint is
-its set of signatures, in hexadecimal, ascending. A text with words but no signature
+them passed over. A chain is a signature, the first 32 bits of its MD5; a text's fingerprint
+is its set of signatures, in hexadecimal, ascending. A text with words but no signature
 is its own one; a text without words is its own signature too, but the empty text
 has the empty set.
 
@@ -31,6 +31,9 @@ CHAIN = 2
 SPAN = 512
 
 
+_SIGN = "cast(conv(substring(md5(cast({} as binary)), 1, 8), 16, 10) as bigint)"
+
+
 def signatures(df: DataFrame, text: str, out: str) -> DataFrame:
     """``df`` with the sorted distinct signatures of a column that isn't null."""
     words = F.regexp_replace(F.lower(F.col(text)), r"[^\p{L}\p{N}]+", " ")
@@ -40,14 +43,15 @@ def signatures(df: DataFrame, text: str, out: str) -> DataFrame:
         df.withColumn("cut_", F.split(marked, "#"))
         # what follows an anchor, without anchors that follow anchors
         .withColumn("pieces_", F.expr("filter(transform(slice(cut_, 2, size(cut_)), p -> trim(p)), p -> p <> '')"))
-        .withColumn(out, F.expr(f"array_sort(array_distinct(transform(pieces_, (p, j) -> hash(substring_index(trim(concat(p{tail})), ' ', {CHAIN})))))"))
-        .withColumn(out, F.when(F.size(out) > 0, F.col(out)).when(F.col(text) == "", F.array().cast("array<int>")).otherwise(F.array(F.hash(F.col(text)))))
+        .withColumn(out, F.expr(f"array_sort(transform(array_distinct(transform(pieces_, (p, j) -> substring_index(trim(concat(p{tail})), ' ', {CHAIN}))), c -> {_SIGN.format('c')}))"))
+        .withColumn(out, F.array_distinct(out))
+        .withColumn(out, F.when(F.size(out) > 0, F.col(out)).when(F.col(text) == "", F.array().cast("array<bigint>")).otherwise(F.array(F.expr(_SIGN.format(text)))))
         .drop("cut_", "pieces_")
     )
 
 
 def fingerprint(signs: str) -> Column:
-    return F.expr(f"array_join(transform({signs}, s -> lpad(hex(s & 4294967295L), 8, '0')), '')")
+    return F.expr(f"array_join(transform({signs}, s -> lpad(lower(hex(s)), 8, '0')), '')")
 
 
 def likeness(a: str, b: str) -> Column:

@@ -6,7 +6,6 @@ import random
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from stationlens.llm import decontaminate, neardup, secrets, spotsigs
 
@@ -85,8 +84,8 @@ def test_fingerprints(make, corpus):
 def test_signatures_follow_anchors(spark):
     df = spark.createDataFrame([("The quick of THE brown, fox and dog",), ("no anchors here",), ("",), ("the",)], "text string")
     found = [r.s for r in spotsigs.signatures(df, "text", "s").collect()]
-    chains = spark.createDataFrame([("quick brown",), ("brown fox",), ("dog",)], "c string").select(F.hash("c")).collect()
-    assert found[0] == sorted(r[0] for r in chains) and [len(x) for x in found[1:]] == [1, 0, 1]
+    chains = [int(hashlib.md5(c).hexdigest()[:8], 16) for c in (b"quick brown", b"brown fox", b"dog")]
+    assert found[0] == sorted(chains) and [len(x) for x in found[1:]] == [1, 0, 1]
 
 
 def test_fingerprints_of_odd_tables(make, corpus):

@@ -3,7 +3,6 @@
 import re
 from collections import Counter
 
-import duckdb
 import pytest
 
 from stationlens.llm import kernels, lines, recompression, substrings
@@ -121,17 +120,6 @@ def test_lines(make, corpus):
     assert {r.source for r in found} == {"s"}
 
 
-def test_lines_as_sql(spark, sf):
-    from stationlens.llm import queries
-
-    con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
-    found = queries.op1_line_dedup(spark, sf)
-    expected = con.execute(queries.ORACLES["op1_line_dedup"])
-    names = [d[0] for d in expected.description]
-    assert sorted(tuple(r[n] for n in names) for r in found.collect()) == sorted(expected.fetchall())
-
-
 def test_rows_that_repeat_and_empty_tables(make, corpus):
     assert len(lines.dedup_lines(make(corpus)).collect()) == len(corpus)
     for f in (lines.dedup_lines, recompression.remove_repeated, substrings.remove_repeated):
