@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import materialize
 from .components import components
 
 #: Rounds of agreement, and share of common rounds in agreement, that confirm a pair.
@@ -45,6 +46,7 @@ def groups(co: DataFrame, catalog: DataFrame, min_same: int = MIN_SAME, min_agre
     known = catalog.select("uuid", F.coalesce("bitrate", F.lit(0)).alias("bitrate"), F.coalesce("popularity", F.lit(0)).alias("popularity"))
     sure = confirmed(co, min_same, min_agreement)
     inside = sure.join(known.select(F.col("uuid").alias("a")), "a", "left_semi").join(known.select(F.col("uuid").alias("b")), "b", "left_semi")
+    inside = materialize(inside, "confirmed")  # the few confirmed pairs; co-occurrence isn't computed again for their groups
     of = components(inside.select("a", "b"))
     members = of.join(known, F.col("node") == F.col("uuid")).groupBy("component").agg(F.max_by("uuid", F.struct("bitrate", "popularity", "uuid")).alias("representative"), F.array_sort(F.collect_list("uuid")).alias("members"))
     edges = inside.join(of, F.col("a") == F.col("node")).groupBy("component").agg(F.min("same").alias("weakest_same"), F.round(F.min(F.col("same") / F.col("both")), 3).alias("weakest_agreement"))
