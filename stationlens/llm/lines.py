@@ -78,7 +78,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", carry:
 
     found = rows.where(F.col("text").contains("\n")).select("doc_id", chunks("text").alias("c")).select("doc_id", "c.hashes", F.explode("c.chunks").alias("c")).where("c.end - c.start >= 2")
     found = found.select("doc_id", "c.start", "c.end", F.expr("slice(hashes, c.start + 1, c.end - c.start)").alias("h")).select("doc_id", "start", "end", F.xxhash64("h").alias("h1"), F.xxhash64(F.lit(1), "h").alias("h2"))
-    again = found.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
+    # written, so that the join has an exchange on either side and AQE can split the rows of a frequent chunk
+    again = shared.materialize(found.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1"), "again")
     candidates = found.join(again, ["h1", "h2"]).withColumn("is_first", place.eqNullSafe(F.col("first")))
     by_document = shared.materialize(candidates.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end", "h1", "h2", "is_first")).alias("marks")), "marks")
 
@@ -90,7 +91,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", carry:
     first = texts.where("is_first").groupBy("h1", "h2").agg(F.min("chunk").alias("of_first"))
     same = texts.where("not is_first").join(first, ["h1", "h2"]).where("chunk = of_first")
     gone = shared.materialize(same.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("removed")), "removed")
-    shared.discard(by_document, texts)
+    shared.discard(again, by_document, texts)
 
     carried = [f"carried_{i}" for i in range(len(carry))]
     joined = whole.join(gone.hint("merge"), whole["doc_id"].eqNullSafe(gone["doc_id"]), "left").select(whole["doc_id"], "text", "removed", *carried)
