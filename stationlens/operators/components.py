@@ -14,7 +14,8 @@ from ..storage import discard, materialize
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each vertex's larger neighbours go to the least of its neighbours and itself."""
     around = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
-    least = around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    # written, so that the join has an exchange on either side and AQE can split a vertex of many neighbours
+    least = materialize(around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
     return around.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
 
 
