@@ -7,14 +7,15 @@ before it, otherwise an optional group; texts that differ become text slots, and
 those that agree stay template text. A wrapper is aligned with a wrapper just as
 with a page, so each task makes one wrapper per host of its own pages and the
 wrappers of a host are then aligned with each other. All pages count; what meets
-in one task is a few small wrappers, not a host's pages.
+in one task is a few small wrappers, not a host's pages. A large wrapper loses no
+group: those that few pages have and that differ only by class become one (see ``prune``).
 
 A wrapper is matched against each of its host's pages to get the main text:
 
 * The regions are the wrapper's groups of <article> or <main> (or their roles), else
   the group whose slots hold the most text outside links over all pages. A page gives
-  what stands at the place of these groups; a page whose wrapper was pruned and that
-  matches no group is taken as a host of its own.
+  what stands at the place of these groups; a page that matches no group is taken as
+  a host of its own.
 * Inside, groups of menus, headers, footers, sidebars, notices, adverts, forms,
   scripts and comments are left out, by element, role, or a word of class or id.
 * Without a marked region, text that the wrapper holds as template text of a host
@@ -40,7 +41,7 @@ from . import shared
 
 #: Pages of a host from which a template text is believed to be one.
 AGREE = 4
-#: Nodes to which a wrapper is pruned, least often seen first, once it is aligned.
+#: Nodes from which a wrapper's rare groups are joined, least often seen first, once it is aligned.
 MOST_NODES = 400
 
 # Element names and words of class, id and role, as HTML and its common usage define them.
@@ -138,8 +139,16 @@ def wrapper_of(node: Node, depth: int = 0) -> list:
                     kids.append(["#text", 1, 1, False, False, words if len(words) <= 200 else None, [], PLAIN, len(words)])
             elif k.name not in VOID:
                 kids.append(wrapper_of(k, depth + 1))
-    kind = APARTNESS if node.apart else REGION if node.region else LINK if node.name == "a" else PARAGRAPH if node.name == "p" or node.name in INLINE else PLAIN
-    return [node.label or node.name, 1, 1, False, False, "", fold(kids), kind, 0]
+    return [node.label or node.name, 1, 1, False, False, "", fold(kids), _kind(node), 0]
+
+
+def _kind(node: Node) -> int:
+    return APARTNESS if node.apart else REGION if node.region else LINK if node.name == "a" else PARAGRAPH if node.name == "p" or node.name in INLINE else PLAIN
+
+
+def _any_class(label: str, kind: int) -> str:
+    """The label of joined groups of one element name and kind."""
+    return f"{label.split('.')[0]}.\0{kind}"
 
 
 def fold(kids: list[list]) -> list[list]:
@@ -206,29 +215,50 @@ def nodes(w: list) -> int:
 
 
 def prune(w: list, most: int = MOST_NODES) -> list:
-    """Drop the optional groups that the fewest pages have, until ``most`` nodes are left.
+    """Join the optional groups that the fewest pages have, until ``most`` nodes are left or nothing is to be joined.
 
-    The main text never depends on a dropped group: what a page has and its wrapper
-    doesn't is matched as an optional group of its own.
+    Groups of one parent, element name and kind become one group of any class, with the
+    sum of their masses. No group is dropped, so each node of a page has its place in the
+    wrapper. What 90 % of the pages have stays as it is.
     """
     while nodes(w) > most:
-        least = min((x[2] for x in _walk(w) if x[4]), default=None)
+        least = min((x[2] for x in _walk(w) if x[4] and not _is_joined(x) and x[2] < 0.9 * w[2]), default=None)
         if least is None:
             break
-        _cut(w, least)
+        _join(w, least)
     return w
 
 
+def _is_joined(x: list) -> bool:
+    return x[5] is None if x[0] == "#text" else "\0" in x[0]
+
+
 def _walk(w: list) -> Iterator[list]:
     for x in w[6]:
         yield x
         yield from _walk(x)
 
 
-def _cut(w: list, least: int) -> None:
-    w[6] = [x for x in w[6] if not (x[4] and x[2] <= least)]
+def _join(w: list, least: int) -> None:
+    held: dict[str, list] = {}
+    kids: list[list] = []
     for x in w[6]:
-        _cut(x, least)
+        if x[4] and (x[2] <= least or _is_joined(x)):
+            if not _is_joined(x):
+                if x[0] != "#text":
+                    x[0] = _any_class(x[0], x[7])
+                for t in (x, *_walk(x)):
+                    if t[0] == "#text":
+                        t[5] = None
+            if x[0] in held:
+                align(held[x[0]], x)
+                continue
+            held[x[0]] = x
+        kids.append(x)
+    w[6] = fold(kids)
+    for x in w[6]:
+        x[2] = min(x[2], w[2])
+        _join(x, least)
 
 
 def expression(w: list) -> str:
@@ -245,7 +275,9 @@ class Extractor:
 
     def __init__(self, wrapper: list):
         self.paths: set[tuple[str, ...]] = set()
+        self.steps: set[tuple[str, ...]] = set()
         self._find(wrapper, (wrapper[0],))
+        self._step(wrapper, (wrapper[0],))
         self.marked = bool(self.paths)
         self.template: set[str] = set()
         if not self.marked:
@@ -256,6 +288,8 @@ class Extractor:
                 if child is None or total == 0 or _mass(child) < 0.6 * total:
                     break
                 at, path = child, (*path, child[0])
+                if "\0" in child[0]:
+                    break  # what is inside has no common shape
             self.paths.add(path)
             if wrapper[2] >= AGREE:
                 self.template = {x[5] for x in _walk(wrapper) if x[0] == "#text" and x[5] and x[2] >= max(AGREE, 0.9 * wrapper[2])}
@@ -270,6 +304,21 @@ class Extractor:
             return True
         return any(inner)
 
+    def _step(self, w: list, path: tuple[str, ...]) -> bool:
+        """Add the places of joined groups."""
+        inner = [self._step(k, (*path, k[0])) for k in w[6]]
+        if any(inner) or "\0" in w[0]:
+            self.steps |= {(*path, k[0]) for k in w[6]} | {path}
+            return True
+        return False
+
+    def _place(self, node: Node, path: tuple[str, ...]) -> tuple[str, ...]:
+        own = (*path, node.label or node.name)
+        if not self.steps or own in self.steps:
+            return own
+        joined = (*path, _any_class(own[-1], _kind(node)))
+        return joined if joined in self.steps else own
+
     def __call__(self, page: str | None) -> str:
         if not page:
             return ""
@@ -277,10 +326,12 @@ class Extractor:
         found, todo = [], [(root, (root.name,))]
         while todo:
             x, path = todo.pop()
-            if path in self.paths:
+            if self.marked and "\0" in path[-1]:
+                found += _regions(x)  # groups of any class: the page tells its own regions
+            elif path in self.paths:
                 found.append(x)
             else:
-                todo += [(k, (*path, k.label or k.name)) for k in reversed(x.kids) if k.name]
+                todo += [(k, self._place(k, path)) for k in reversed(x.kids) if k.name]
         if not found:
             return Extractor(wrapper_of(root))(page) if self.paths else ""
         blocks: list[str] = []
@@ -289,6 +340,15 @@ class Extractor:
         return "\n".join(b for b in blocks if b not in self.template)
 
 
+def _regions(node: Node, depth: int = 0) -> list[Node]:
+    """The outermost regions of a page's node, as in a wrapper of its own."""
+    if node.apart:
+        return []
+    is_article = node.region and (node.label or node.name).startswith("article")
+    inner = [r for k in node.kids if k.name for r in _regions(k, depth + 1)] if depth < 40 and not is_article else []
+    return inner or ([node] if node.region else [])
+
+
 def _mass(w: list) -> int:
     """The length of the texts in a group, without links and what stands apart."""
     return 0 if w[7] in (APARTNESS, LINK) else w[8] + sum(map(_mass, w[6]))

@@ -131,3 +131,21 @@ def test_wrappers_have_optional_and_repeated_groups():
     b = html.wrapper_of(html.parse("<body><h1>y</h1><span>new</span><p>three</p><div>same</div></body>"))
     html.align(a, b)
     assert html.expression(a) == "<#><body><h1>#TEXT</h1>(<span>new</span>)?(<p>#TEXT</p>)+<div>same</div></body></#>"
+
+
+def test_host_of_many_classes(spark):
+    """Each page has classes of its own, so that the host's wrapper grows beyond its size."""
+    words = lambda i: " ".join(f"w{i * 7 + k}" for k in range(4))
+    bio = "<div class='bio'>" + "The author has written here for years, and so on and on. " * 20 + "</div>"
+    marked = [f"<body><p>Top</p><article class='post-{i}'><div class='body-{i}'><h1>{words(i)}</h1><p>Text {i}</p></div></article>{bio}</body>" for i in range(300)]
+    # a region of any class that holds no region of its own, beside one that does
+    marked += [f"<body><main class='page-{i}'><p>Page {i}</p></main><div class='x-{i}'><article>Teaser</article></div>{bio}</body>" for i in range(300, 303)]
+    marked += [f"<body><main class='list-{i}'><article class='a-{i}'>Item {i}</article></main>{bio}</body>" for i in range(303, 306)]
+    plain = [f"<body><div class='post-{i}'><h1>{words(i)}</h1><section class='s-{i}'>Text {i} " + "of its own " * 30 + f"</section></div><div class='bio'>Bio of {i % 3}</div></body>" for i in range(300)]
+    pages = [(i, "http://marked.com/x", p) for i, p in enumerate(marked)] + [(1000 + i, "http://plain.com/x", p) for i, p in enumerate(plain)]
+    found = {r.page_id: r.text for r in html.main_text(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)).collect()}
+    for i in range(300):
+        assert found[i] == f"{words(i)}\nText {i}"
+        assert words(i) in found[1000 + i] and f"Text {i} of its own" in found[1000 + i]
+    assert all(found[i] == f"Page {i}\nTeaser" for i in range(300, 303))
+    assert all(found[i] == f"Item {i}" for i in range(303, 306))
