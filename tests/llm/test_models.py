@@ -105,6 +105,20 @@ def test_language_of_odd_rows(spark, sf, make, corpus):
     assert langid.fit(docs.withColumn("lang", F.lit(None).cast("string"))).languages == []
 
 
+def test_short_texts_are_rejected_by_distance(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = langid.fit(docs)
+    polish = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa."
+    russian = "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и должны поступать в отношении друг друга в духе братства."
+    rng = np.random.default_rng(4)
+    noise = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz    "), n)) for n in (60, 120, 180)]
+    assert all(langid.label([t[:n] for t in (polish, russian) for n in (60, 120, 170)] + noise, model)[2])
+    clean = [r.text[a : a + n] for r in docs.where("n_chars > 1500").limit(60).collect() for a in (200, 700) for n in (40, 80, 160)]
+    assert np.mean(langid.label(clean, model)[2]) < 0.05
+    token = 'token = "2abc3ff2ca8fb1e4c565a0eb63815530a948bdde" '
+    assert np.mean(langid.label([token + t for t in clean], model)[2]) < 0.05
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{{}}</style><script>var t="</p>";</script></head><body><header>Site</header><nav><ul><li><a href="/a">menu</a><li>two</ul></nav>
 <div class="cookie-notice">We use cookies</div><div class="ad">Buy</div><article><h1>Head &lt;{0}&gt;</h1><p>One <b>bold</b>
  text&nbsp;{0}<p>Two<br>lines<aside>Side</aside><form>Mail <input></form><ul><li>a<li>b</ul><blockquote><p>Quote</p></blockquote><!-- no --><div class="comments">Me too</div></article><aside>More</aside><footer>&copy;</footer></body></html>"""
