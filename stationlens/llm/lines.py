@@ -13,8 +13,10 @@ of hash and then compared byte by byte with the first occurrence.
 
 Lines end at newlines; a carriage return belongs to its line. A null text has no
 lines and stays null; an empty text has one empty line. A text whose lines all go
-becomes empty. Rows without doc_id come after all others. Rows that repeat a doc_id
-count as the same place and are kept or removed alike. An empty table gives no rows.
+becomes empty. Rows without doc_id come after all others. Rows of one doc_id (or
+without one) and different texts are documents of their own, in the order of a hash of
+the text; rows that repeat both count as the same place and are kept or removed alike.
+An empty table gives no rows.
 Other columns than the id and the text aren't read.
 """
 
@@ -72,29 +74,33 @@ def _without(removed: Column) -> Column:
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text (what is kept), n_lines, n_removed and chunks_removed, of each row, and the columns ``carry``."""
+    # a document is told by its id and 128 bits of hash of its text
+    row = ["doc_id", "t1", "t2"]
     whole = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"), *(F.col(f"`{c}`").alias(f"carried_{i}") for i, c in enumerate(carry)))
-    rows = whole.select("doc_id", "text")
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "start")
+    whole = whole.withColumns({"t1": F.xxhash64("text"), "t2": F.xxhash64(F.lit(1), "text")})
+    rows = whole.select(*row, "text")
+    same_row = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["t1"] == b["t1"]) & (a["t2"] == b["t2"])
+    place = F.struct(F.col("doc_id").isNull().alias("last"), *row, "start")
 
-    found = rows.where(F.col("text").contains("\n")).select("doc_id", chunks("text").alias("c")).select("doc_id", "c.hashes", F.explode("c.chunks").alias("c")).where("c.end - c.start >= 2")
-    found = found.select("doc_id", "c.start", "c.end", F.expr("slice(hashes, c.start + 1, c.end - c.start)").alias("h")).select("doc_id", "start", "end", F.xxhash64("h").alias("h1"), F.xxhash64(F.lit(1), "h").alias("h2"))
+    found = rows.where(F.col("text").contains("\n")).select(*row, chunks("text").alias("c")).select(*row, "c.hashes", F.explode("c.chunks").alias("c")).where("c.end - c.start >= 2")
+    found = found.select(*row, "c.start", "c.end", F.expr("slice(hashes, c.start + 1, c.end - c.start)").alias("h")).select(*row, "start", "end", F.xxhash64("h").alias("h1"), F.xxhash64(F.lit(1), "h").alias("h2"))
     # written, so that the join has an exchange on either side and AQE can split the rows of a frequent chunk
     again = shared.materialize(found.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1"), "again")
     candidates = found.join(again, ["h1", "h2"]).withColumn("is_first", place.eqNullSafe(F.col("first")))
-    by_document = shared.materialize(candidates.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end", "h1", "h2", "is_first")).alias("marks")), "marks")
+    by_document = shared.materialize(candidates.groupBy(*row).agg(F.collect_set(F.struct("start", "end", "h1", "h2", "is_first")).alias("marks")), "marks")
 
     # byte comparison: only documents with candidates give their chunks' text
     one = lambda lines, m: F.struct(m["start"].alias("start"), m["end"].alias("end"), m["h1"].alias("h1"), m["h2"].alias("h2"), m["is_first"].alias("is_first"), F.array_join(F.slice(lines, m["start"] + 1, m["end"] - m["start"]), "\n").alias("chunk"))
     marked = let(_lines("text"), lambda lines: F.transform(F.filter("marks", lambda m: m["end"] <= F.size(lines)), lambda m: one(lines, m)))
-    texts = rows.join(by_document.hint("merge"), rows["doc_id"].eqNullSafe(by_document["doc_id"])).select(rows["doc_id"], F.explode(marked).alias("m")).select("doc_id", "m.*")
+    texts = rows.join(by_document.hint("merge"), same_row(rows, by_document)).select(*(rows[c] for c in row), F.explode(marked).alias("m")).select(*row, "m.*")
     texts = shared.materialize(texts, "chunks")
     first = texts.where("is_first").groupBy("h1", "h2").agg(F.min("chunk").alias("of_first"))
     same = texts.where("not is_first").join(first, ["h1", "h2"]).where("chunk = of_first")
-    gone = shared.materialize(same.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("removed")), "removed")
+    gone = shared.materialize(same.groupBy(*row).agg(F.collect_set(F.struct("start", "end")).alias("removed")), "removed")
     shared.discard(again, by_document, texts)
 
     carried = [f"carried_{i}" for i in range(len(carry))]
-    joined = whole.join(gone.hint("merge"), whole["doc_id"].eqNullSafe(gone["doc_id"]), "left").select(whole["doc_id"], "text", "removed", *carried)
+    joined = whole.join(gone.hint("merge"), same_row(whole, gone), "left").select(whole["doc_id"], "text", "removed", *carried)
     all_kept = F.struct("text", F.coalesce(F.size(_lines("text")), F.lit(0)).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed"))
     no_lines = F.struct("text", F.lit(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed"))
     kept = F.when(F.col("text").isNull(), no_lines).when(F.col("removed").isNotNull(), _without(F.col("removed"))).otherwise(all_kept)

@@ -124,3 +124,19 @@ def test_rows_that_repeat_and_empty_tables(make, corpus):
     assert len(lines.dedup_lines(make(corpus)).collect()) == len(corpus)
     for f in (lines.dedup_lines, recompression.remove_repeated, substrings.remove_repeated):
         assert f(make([])).collect() == []
+
+
+def test_lines_of_rows_that_share_an_id(make):
+    text = lambda name: "\n".join(f"{name}{i}" for i in range(40))
+    rows = [(1, text("r")), (None, text("r")), (None, text("u")), (None, text("v")), (7, text("s")), (7, text("w")), (9, text("s")), (9, text("x")), (8, text("z")), (8, text("z")), (6, "y\n" + text("z"))]
+    found = lines.dedup_lines(make(rows)).collect()
+    left = sorted([(r.doc_id, r.text) for r in found], key=repr)
+    # of chunks of two lines or more that repeat, the first by id stays; single lines stay
+    assert len(left) == len(rows)
+    for i, name in ((None, "u"), (None, "v"), (7, "w"), (9, "x"), (1, "r"), (7, "s")):
+        assert (i, text(name)) in left
+    for i, name in ((None, "r"), (9, "s"), (8, "z")):
+        assert (i, text(name)) not in left
+    removed = {(r.doc_id, r.text): r.n_removed for r in found}
+    assert [r.n_removed for r in found if r.doc_id == 8][0] == [r.n_removed for r in found if r.doc_id == 8][1] > 20
+    assert sorted(n > 20 for (i, _), n in removed.items() if i is None) == [False, False, True]
