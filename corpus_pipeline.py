@@ -4,6 +4,8 @@ Each stage works on all that the one before it kept, and its decisions take effe
 documents of unsure language go, repeated chunks of lines go (and documents of which
 nothing is left), one document of each group of near duplicates stays (five words,
 similarity 0.8), documents with a benchmark passage go, and the rest is packed.
+Rows are told by id and text, so rows without an id or with an id that others have are
+decided by their own text.
 """
 
 from __future__ import annotations
@@ -29,26 +31,38 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
+def _with_row(docs: DataFrame) -> DataFrame:
+    """``docs`` with row_, a hash of id and text: ids may be null, or shared by unlike texts."""
+    return docs.withColumn("row_", F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(2) Keep the document of least id of each component; of rows that repeat its id, one."""
-    found = neardup.near_duplicates(docs, scheme=neardup.Scheme(words=5, percent=80, chunks=5)).select("doc_id", "kept")
-    found = materialize(found, "kept").where("doc_id is not null")
-    # what goes, and ids that repeat, are the few: only they are joined with the texts
-    gone = materialize(found.where("not kept").select("doc_id").distinct(), "gone")
-    repeated = materialize(found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated")
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """(2) Keep the row of least id of each component (null last, then by hash); of rows that repeat id and text, one."""
+    rows = _with_row(docs)
+    found = neardup.near_duplicates(rows, key="row_", scheme=neardup.Scheme(words=5, percent=80, chunks=5))
+    found = materialize(found.select(F.col("doc_id").alias("row_"), "component_id", "kept"), "kept")
+    # what goes, and rows that repeat, are the few: only they are joined with the texts
+    groups = found.where("not kept").select("component_id").distinct()
+    members = found.join(groups, "component_id").select("row_", "component_id").distinct().join(rows.select("row_", "doc_id").distinct(), "row_")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_")
+    members = materialize(members.select("row_", "component_id", place.alias("place")), "members")
+    least = members.groupBy("component_id").agg(F.min("place").alias("least"))
+    gone = materialize(members.join(least, "component_id").where("row_ <> least.row_").select("row_").distinct(), "gone")
+    repeated = materialize(found.groupBy("row_").agg(F.count("*").alias("n")).where("n > 1").select("row_"), "repeated")
+    left = rows.join(gone, "row_", "left_anti")
     if repeated.isEmpty():
-        return left
-    one = W.partitionBy("doc_id").orderBy(F.xxhash64(*(F.col(c) for c in docs.columns if c != "doc_id")))
-    first = left.join(repeated, "doc_id", "left_semi").withColumn("place_", F.row_number().over(one)).where("place_ = 1")
-    return left.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(first.select(*docs.columns))
+        return left.select(*docs.columns)
+    one = W.partitionBy("row_", "doc_id", "text").orderBy(F.xxhash64(*(F.col(c) for c in docs.columns if c not in ("doc_id", "text"))))
+    first = left.join(repeated, "row_", "left_semi").withColumn("place_", F.row_number().over(one)).where("place_ = 1")
+    return left.join(repeated, "row_", "left_anti").select(*docs.columns).unionByName(first.select(*docs.columns))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(8) Documents that cover half a benchmark item or more go."""
-    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    gone = materialize(found.select("doc_id").distinct(), "contaminated")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """(8) Rows that cover half a benchmark item or more go."""
+    rows = _with_row(docs)
+    found = decontaminate.contaminated(rows, table(spark, sf_dir, "benchmark"), key="row_")
+    gone = materialize(found.select(F.col("doc_id").alias("row_")).distinct(), "contaminated")
+    return rows.join(gone, "row_", "left_anti").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -41,3 +41,18 @@ def test_rows_that_repeat(spark, sf):
     twice = docs.unionByName(docs)
     left = corpus_pipeline.near_dedup(spark, twice, sf).collect()
     assert len(left) == len({r.doc_id for r in left})
+
+
+def test_rows_without_an_id_of_their_own(spark, sf):
+    docs = table(spark, sf, "documents").limit(0)
+    rng = random.Random(2)
+    words = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    a, b, c, d, e = (" ".join(words(80)) for _ in range(5))
+    passage = next(r.text for r in table(spark, sf, "benchmark").collect() if len((r.text or "").split()) > 20)
+    rows = [(1, a), (5, a + " end"), (5, b), (6, c), (6, d), (None, c + " end"), (None, e), (None, e), (7, e + " end"), (None, passage), (8, passage), (8, " ".join(words(90)))]
+    docs = spark.createDataFrame([(i, t, "en", "p", len(t)) for i, t in rows], docs.schema)
+    left = corpus_pipeline.materialize(corpus_pipeline.near_dedup(spark, docs, sf), "left")
+    got = sorted([(r.doc_id, r.text) for r in left.collect()], key=repr)
+    assert got == sorted([(1, a), (5, b), (6, c), (6, d), (7, e + " end"), (8, passage), rows[-1]], key=repr)
+    got = corpus_pipeline.decontaminated(spark, docs, sf).collect()
+    assert sorted([(r.doc_id, r.text) for r in got], key=repr) == sorted([r for r in rows if r[1] != passage], key=repr)
