@@ -5,9 +5,10 @@ that are too short are dropped. To these the method adds spans of high entropy:
 candidates are runs of the characters of a class; in each, Shannon entropy is taken
 over windows of ``WINDOW`` characters. A step of the window takes one character out and
 one in, so the sum of c log2 c is carried along and changed by these two counts.
-Windows at or above the class's threshold are joined to spans. Suppressed are candidates
-on the allow-list: without a digit or without a letter, of known sample strings, or
-UUIDs; and spans that touch a base span.
+Windows at or above the class's threshold are joined to spans. Suppressed are UUIDs,
+windows that overlap or touch a known sample string, and what is then left of a candidate
+if it is without a digit or without a letter. Base spans are cut out of spans of entropy,
+of which what is left counts from ``WINDOW`` characters on.
 
 Offsets are code points, ends exclusive. A text's matches come from one scan that yields what
 lies before each match and the match, so offsets are sums of lengths. Texts are only
@@ -37,6 +38,9 @@ WINDOW = 20
 #: Characters of each class and the entropy in bits from which a window counts (of 4 and 4.32 at most).
 CLASSES = {"entropy_hex": (r"[0-9A-Fa-f]", 3.2), "entropy_mixed": (r"[A-Za-z0-9+/_=-]", 3.9)}
 ALLOWED = r"(?i)EXAMPLE|SAMPLE|0123456789|abcdefghij|123456789012|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
+#: What windows neither overlap nor touch: the known sample strings, those of digits as far as they overlap.
+KNOWN = r"(?i:.?(?:EXAMPLE|SAMPLE|abcdefghij|(?:0123456789)+(?:012)?|(?:1234567890)+12(?:3456789)?).?)"
+UUID = r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 #: Longer candidates are taken in pieces of this length that overlap by a window less one.
 PIECE = 256
 
@@ -103,9 +107,39 @@ def _joined(found: Column, new: Column) -> Column:
     return F.when((F.size(found) > 0) & (last["end"] >= new["start"]), if_touching).otherwise(F.concat(found, F.array(new)))
 
 
+def _between(c: Column) -> Column:
+    """What lies between the known sample strings of a candidate, as candidates."""
+    whole = F.lit(rf"(?s)(.*?)(?:({KNOWN})|\z)")
+    part = lambda group: F.regexp_extract_all(c["value"], whole, F.lit(group))
+    start = F.struct(c["start"].alias("at"), F.array().cast("array<" + SPAN + ">").alias("found"))
+
+    def step(state: Column, p: Column) -> Column:
+        end = state["at"] + F.char_length(p["before"])
+        span = F.struct(c["kind"].alias("kind"), state["at"].alias("start"), end.alias("end"), p["before"].alias("value"))
+        found = F.when(F.char_length(p["before"]) >= WINDOW, F.concat(state["found"], F.array(span))).otherwise(state["found"])
+        return F.struct((end + F.char_length(p["known"])).alias("at"), found.alias("found"))
+
+    return F.aggregate(F.arrays_zip(part(1).alias("before"), part(2).alias("known")), start, step, lambda s: s["found"])
+
+
+def _outside(s: Column, base: Column) -> Column:
+    """What base spans (in order) leave of a span, in pieces of ``WINDOW`` characters at least."""
+    over = F.filter(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    start = F.struct(s["start"].alias("at"), F.array().cast("array<" + SPAN + ">").alias("found"))
+
+    def until(state: Column, end: Column) -> Column:
+        text = F.substring(s["value"], state["at"] - s["start"] + 1, end - state["at"])
+        piece = F.struct(s["kind"].alias("kind"), state["at"].alias("start"), end.alias("end"), text.alias("value"))
+        return F.when(end - state["at"] >= WINDOW, F.concat(state["found"], F.array(piece))).otherwise(state["found"])
+
+    step = lambda state, b: F.struct(F.greatest(state["at"], b["end"]).alias("at"), until(state, b["start"]).alias("found"))
+    return F.when(F.size(over) == 0, F.array(s)).otherwise(F.aggregate(over, start, step, lambda state: until(state, s["end"])))
+
+
 def _high(candidates: str, kind: str, threshold: float) -> Column:
     """Spans of high entropy in the candidates, without those on the allow-list."""
-    named = F.filter(candidates, lambda c: c["value"].rlike("[0-9]") & c["value"].rlike("[A-Za-z]") & ~c["value"].rlike(ALLOWED))
+    unknown = F.flatten(F.transform(candidates, lambda c: F.when(c["value"].rlike(UUID), F.slice(candidates, 1, 0)).when(c["value"].rlike(ALLOWED), _between(c)).otherwise(F.array(c))))
+    named = F.filter(unknown, lambda c: c["value"].rlike("[0-9]") & c["value"].rlike("[A-Za-z]"))
     step = PIECE - WINDOW + 1
 
     def pieces(c: Column) -> Column:
@@ -141,8 +175,8 @@ def _found(possible: Column) -> Column:
         return let(_scan(rf"{characters}{{{WINDOW},}}", possible["entropy"], kind), lambda candidates: _high(candidates, kind, threshold))
 
     def with_base(kinds: Column, base: Column) -> Column:
-        free = lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-        return F.struct(kinds["assign"].alias("assign"), kinds["access"].alias("access"), kinds["hex"].alias("hex"), base.alias("base"), _order(F.concat(base, F.filter(F.concat(*map(high, CLASSES)), free))).alias("spans"))
+        free = F.flatten(F.transform(F.concat(*map(high, CLASSES)), lambda s: _outside(s, base)))
+        return F.struct(kinds["assign"].alias("assign"), kinds["access"].alias("access"), kinds["hex"].alias("hex"), base.alias("base"), _order(F.concat(base, free)).alias("spans"))
 
     return let(base, lambda kinds: let(_order(F.concat(kinds["assign"], kinds["access"], kinds["hex"])), lambda base: with_base(kinds, base)))
 
