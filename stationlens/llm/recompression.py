@@ -7,13 +7,15 @@ formed of a symbol on the left side of the alphabet followed by one on the right
 side, the sides being drawn anew by hash in each round. A name is a hash of what it
 stands for, so all partitions give equal content equal names without a table of
 them. Whether symbols join depends on them and their neighbours only: inside equal
-windows the symbols agree but for a few words at the ends (``MARGIN``), whatever
-stands around. Longer runs stay as they are.
+windows the symbols agree but for a few words at the ends (the margin), whatever
+stands around. Longer runs stay as they are. Rounds go on, each letting symbols grow by
+half, for as long as every window of ``WIDTH`` words still holds a whole symbol between
+its margins: up to 6 words at a width of 35 (``rounds``).
 
 The symbol of least hash of those inside a window's margins stands for the window,
 with the words of a margin on either side, which lie inside the window as well.
 Symbols that several places share reveal the repeats, which are then verified
-window by window (see ``repeats``).
+word by word (see ``repeats``).
 
 Words are the runs of bytes other than space, tab and line breaks, unchanged. A
 null text has no words. Rows that repeat count as different places. Ids are carried
@@ -34,16 +36,28 @@ from . import repeats
 from .substrings import _none, spans_of
 
 WIDTH = 35
-#: Words to which each round may grow a symbol: a run of two, then two rounds of pairs.
-CAPS = (2, 3, 4)
-#: Words at either end of a window within which symbols may differ: the sizes before each round, twice for runs.
-MARGIN = 2 + 2 + 3
-
 SCHEMA = "doc_id long, kept string, n_words long, n_removed long, spans array<struct<start: long, end: long>>"
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("kept", pa.string()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
+def rounds(width: int) -> tuple[tuple[int, ...], int]:
+    """The words to which each round may let a symbol grow, and the words at either end of a window within which symbols may differ.
+
+    The first round joins runs of two, whose neighbours decide too; a later one moves the margin by a symbol of the round before.
+    """
+    caps: tuple[int, ...] = ()
+    margin = 0
+    while True:
+        cap, more = (2, 2) if not caps else (caps[-1] + max(1, caps[-1] // 2), margin + caps[-1])
+        if 2 * more + 2 * cap - 1 > width:
+            return caps, margin
+        caps, margin = (*caps, cap), more
+
+
+CAPS, MARGIN = rounds(WIDTH)
+
+
 def _join(name: np.ndarray, start: np.ndarray, first: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Symbols after those at ``first`` have joined the next one."""
     out = name.copy()
@@ -90,7 +104,7 @@ def _range_least(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarr
 
 
 def finder(width: int = WIDTH, chunk: int = K.BLOCK_BYTES) -> repeats.Finder:
-    caps, margin = (CAPS, MARGIN) if width >= 2 * MARGIN + 2 * CAPS[-1] - 1 else ((), 0)
+    caps, margin = rounds(width)
 
     def find(texts: list[bytes]) -> repeats.Anchors:
         parts = []
@@ -117,16 +131,13 @@ def finder(width: int = WIDTH, chunk: int = K.BLOCK_BYTES) -> repeats.Finder:
             count = np.diff(np.append(new, len(window)))
             sums = K.prefix_sums(words)
 
-            def hashes(which, sums=sums, first=first, count=count):
-                owner = np.repeat(which, count[which])
-                m = count[which]
-                begin = first[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(m) - m, m)
-                return K.range_hash(sums, begin, begin + width, seed=5)
+            def body(which, buffer=buffer, first=first, count=count, starts=starts, ends=ends):
+                return [buffer[a:b].tobytes() for a, b in zip(starts[first[which]].tolist(), ends[first[which] + count[which] + width - 2].tolist())]
 
             # a symbol's margins lie inside the windows that it stands for: its name tells them too
             named = K.range_hash(sums, np.maximum(start[place] - margin, 0), np.minimum(end[place] + margin, n), seed=21)
             text = doc[first]
-            parts.append(repeats.Anchors(units.tolist(), text + at, first - first_word[text], first - start[place], count, named >> K.U(16), K.range_hash(sums, first, first + count - 1 + width, seed=3), hashes))
+            parts.append(repeats.Anchors(units.tolist(), text + at, first - first_word[text], first - start[place], count, named >> K.U(16), K.range_hash(sums, first, first + count - 1 + width, seed=3), body))
         return repeats.Anchors.joined(parts) if parts else _none()
 
     return find
@@ -138,6 +149,15 @@ def _empty(units: np.ndarray) -> repeats.Anchors:
     return a
 
 
+def word_units(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, int]:
+    """Words as numbers of their own, told apart by all their bytes."""
+    known: dict[bytes, int] = {}
+    split = [b.split() for b in bodies]
+    sizes = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
+    units = np.fromiter((known.setdefault(w, len(known)) for ws in split for w in ws), dtype=K.U, count=int(sizes.sum()))
+    return units, np.cumsum(sizes) - sizes, max(1, len(known).bit_length())
+
+
 def result(width: int = WIDTH):
     def of(block: repeats.Block, runs: tuple) -> Iterator[pa.RecordBatch]:
         text, first, count, _ = runs
@@ -181,4 +201,4 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, chunk: int = K.BLOCK_BYTES) -> DataFrame:
     """Each document's kept words, and the spans (in words, end exclusive) that were removed."""
-    return repeats.repeated(docs, key, text, finder(width, chunk), result(width), SCHEMA)
+    return repeats.repeated(docs, key, text, width, finder(width, chunk), word_units, result(width), SCHEMA)

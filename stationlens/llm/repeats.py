@@ -13,15 +13,18 @@ asks and a bucket of names answers:
    and the number of occurrences (up to two), to the bucket of the name.
 2. A bucket sorts by name and span. A name that occurs once is done. A name with one
    span is settled: all its windows are repeated. Otherwise the spans differ.
-3. For each differing span one block sends the hashes of its windows.
-4. The bucket groups the windows of a name by offset and hash, and answers all
-   blocks that have the spans with the runs of repeated windows.
+3. For each differing span one block sends its text.
+4. The bucket orders the windows of each name and offset by passes over their digits,
+   from the most significant on, through the width of a window and no deeper: a digit is
+   as many units as 64 bits hold, a pass splits each group of windows by the next digit,
+   and groups of one window are finished. The groups that are left are the repeated
+   windows, exactly. All blocks that have the spans are answered with the runs of them.
 5. Each block marks what the answers cover in its documents.
 
 What a block sends about a name doesn't grow with how often the block has it, so a
 passage or a document that a third of all rows hold costs a bucket one entry per
-block. Names carry 48 bits, spans and windows 64 more each: two windows count as
-equal when 112 bits agree.
+block. Names carry 48 bits and spans 64 more: two spans count as copies of each other when
+112 bits agree; windows of spans that differ are compared unit by unit.
 """
 
 from __future__ import annotations
@@ -52,34 +55,32 @@ NO_DOC = np.iinfo(np.int64).max
 
 
 class Anchors:
-    """Anchors of some texts: text, first window, its offset from the anchor, windows, name, span, and window hashes on demand."""
+    """Anchors of some texts: text, first window, its offset from the anchor, windows, name, span, and the bytes of spans on demand."""
 
-    def __init__(self, units: list[int], text, first, offset, count, name, span, window: Callable[[np.ndarray], np.ndarray]):
-        self.units, self.text, self.first, self.offset, self.count, self.name, self.span, self.window = units, text, first, offset, count, name, span, window
+    def __init__(self, units: list[int], text, first, offset, count, name, span, body: Callable[[np.ndarray], list[bytes]]):
+        self.units, self.text, self.first, self.offset, self.count, self.name, self.span, self.body = units, text, first, offset, count, name, span, body
 
     @staticmethod
     def joined(several: list[Anchors]) -> Anchors:
         cat = lambda field: np.concatenate([getattr(a, field) for a in several])
         ends = np.cumsum([len(a.name) for a in several])
-        counts = cat("count")  # the closure doesn't hold the result: a cycle would keep its arrays until the collector runs
 
-        def window(which: np.ndarray) -> np.ndarray:
+        def body(which: np.ndarray) -> list[bytes]:
             part = np.searchsorted(ends, which, side="right")
-            count = counts[which]
-            begin = np.cumsum(count) - count
-            hashes = np.empty(int(count.sum()), dtype=K.U)
+            out: list[bytes] = [b""] * len(which)
             for k, a in enumerate(several):
                 here = np.flatnonzero(part == k)
-                n = count[here]
-                place = np.repeat(begin[here], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-                hashes[place] = a.window(which[here] - (ends[k] - len(a.name)))
-            return hashes
+                for place, found in zip(here.tolist(), a.body(which[here] - (ends[k] - len(a.name)))):
+                    out[place] = found
+            return out
 
-        return Anchors([u for a in several for u in a.units], cat("text"), cat("first"), cat("offset"), counts, cat("name"), cat("span"), window)
+        return Anchors([u for a in several for u in a.units], cat("text"), cat("first"), cat("offset"), cat("count"), cat("name"), cat("span"), body)
 
 
 #: Texts (as bytes) to their anchors, with the number of units of each text.
 Finder = Callable[[list[bytes]], Anchors]
+#: The bytes of some spans to their units as numbers in a row, the first unit of each span, and the bits of a number.
+Units = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray, int]]
 
 
 class Block:
@@ -216,7 +217,7 @@ def answer(batches):
 
 
 def send(batches, find: Finder, buckets: int):
-    """Step 3: the window hashes of the spans that were asked for."""
+    """Step 3: the texts of the spans that were asked for."""
     for number, block, answers, _ in _blocks(batches, find, buckets):
         out = []
         a = block.anchors
@@ -224,12 +225,40 @@ def send(batches, find: Finder, buckets: int):
             if len(x["send"]):
                 e = block.edges[x["bucket"]] + x["send"].astype(np.int64)
                 s = block.sample[e]
-                out.append((x["bucket"], 4, number, pack(name=block.name[e], span=block.span[e], offset=a.offset[s].astype(np.int16), count=a.count[s].astype(np.uint16), window=a.window(s))))
+                out.append((x["bucket"], 4, number, pack(name=block.name[e], span=block.span[e], offset=a.offset[s].astype(np.int16), count=a.count[s].astype(np.uint16), body=a.body(s))))
         if out:
             yield _emit(out)
 
 
-def resolve(batches):
+def digit_passes(units: np.ndarray, bits: int, start: np.ndarray, group: np.ndarray, times: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Most-significant-digit radix sort of windows, through ``width`` units.
+
+    ``start`` is a window's first unit, ``group`` its first group (dense), ``times`` how often it
+    stands. Returns the windows whose whole sequence stands more than once in their group, in
+    order, and the number of their equal group.
+    """
+    each = 64 // bits
+    digit = np.zeros(len(units), dtype=K.U)
+    for k in range(min(each, len(units))):
+        digit[: len(units) - k] |= units[k:] << K.U(bits * (each - 1 - k))
+    live, depth = np.arange(len(start)), 0
+    while True:
+        total = np.bincount(group, weights=times[live]) if len(live) else np.zeros(0)
+        company = total[group] > 1
+        live, group = live[company], group[company]
+        if depth >= width or not len(live):
+            return live, np.cumsum(np.diff(group, prepend=-1) != 0) - 1 if len(live) else group
+        take = min(each, width - depth)
+        here = digit[start[live] + depth] >> K.U(bits * (each - take))
+        order = np.lexsort((here, group))
+        live, group, here = live[order], group[order], here[order]
+        new = np.ones(len(live), dtype=bool)
+        new[1:] = (group[1:] != group[:-1]) | (here[1:] != here[:-1])
+        group = np.cumsum(new) - 1
+        depth += take
+
+
+def resolve(batches, width: int, units_of: Units):
     """Step 4: runs of repeated windows of each open span, to every block that has it."""
     shared.kept("repeats")
     for bucket, rows in shared.runs(batches, "block"):
@@ -240,22 +269,28 @@ def resolve(batches):
         del bodies
         if held is None or not spans:
             continue
-        name, span, offset, count, window = (np.concatenate([x[f] for x in spans]) for f in ("name", "span", "offset", "count", "window"))
+        name, span, offset, count = (np.concatenate([x[f] for x in spans]) for f in ("name", "span", "offset", "count"))
+        units, begin, bits = units_of([b for x in spans for b in x["body"]])
+        del spans
         # put in the order of what is held: by name and span
-        begin = np.cumsum(count.astype(np.int64)) - count
         order = np.lexsort((span, name))
         assert (name[order] == held["name"]).all() and (span[order] == held["span"]).all()
         offset, count, begin = offset[order].astype(np.int64), count[order].astype(np.int64), begin[order]
         owner = np.repeat(np.arange(len(order)), count)
         within = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-        hashes = window[begin[owner] + within]
-        key = K.mix(held["name"][owner] * K.U(1 << 12) + (offset[owner] + within + 2048).astype(K.U), 11) ^ hashes
-        _, group = np.unique(key, return_inverse=True)
-        total = np.bincount(group, weights=held["times"][owner])
-        least = np.full(len(total), NO_DOC, dtype=np.int64)
-        np.minimum.at(least, group, held["least"][owner])
-        hit = total[group] > 1
-        least = least[group]
+        # the first groups: windows of one name that lie alike around it
+        of_name = np.cumsum(np.diff(held["name"].astype(np.int64), prepend=-1) != 0) - 1
+        at = offset[owner] + within
+        low = int(at.min())
+        _, group = np.unique(of_name[owner] * (int(at.max()) - low + 1) + (at - low), return_inverse=True)
+        live, group = digit_passes(units, bits, begin[owner] + within, group, held["times"][owner], width)
+        hit = np.zeros(len(owner), dtype=bool)
+        hit[live] = True
+        least = np.full(len(owner), NO_DOC, dtype=np.int64)
+        if len(live):
+            of_group = np.full(int(group[-1]) + 1, NO_DOC, dtype=np.int64)
+            np.minimum.at(of_group, group, held["least"][owner[live]])
+            least[live] = of_group[group]
         # runs of hit windows of one span with one least document
         cut = np.ones(len(owner), dtype=bool)
         cut[1:] = (owner[1:] != owner[:-1]) | (hit[1:] != hit[:-1]) | (least[1:] != least[:-1])
@@ -306,7 +341,7 @@ def finish(batches, find: Finder, buckets: int, result: Callable[[Block, tuple],
         yield from result(block, marked(block, answers, more))
 
 
-def repeated(docs: DataFrame, key: str, text: str, find: Finder, result: Callable, schema: str) -> DataFrame:
+def repeated(docs: DataFrame, key: str, text: str, width: int, find: Finder, units_of: Units, result: Callable, schema: str) -> DataFrame:
     """``result`` of every block, with all its repeated windows marked."""
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -324,6 +359,6 @@ def repeated(docs: DataFrame, key: str, text: str, find: Finder, result: Callabl
     first = shared.materialize(dealt(asked, into=buckets).mapInArrow(answer, ROWS), "answers")
     to_blocks, held = first.where("kind = 1"), first.where("kind = 3")
     spans = shared.materialize(dealt(bodies, to_blocks, into=n).mapInArrow(lambda b: send(b, find, buckets), ROWS), "spans")
-    second = shared.materialize(dealt(spans, held, into=buckets).mapInArrow(resolve, ROWS), "resolved")
+    second = shared.materialize(dealt(spans, held, into=buckets).mapInArrow(lambda b: resolve(b, width, units_of), ROWS), "resolved")
     shared.discard(spans)
     return dealt(bodies, to_blocks, second, into=n).mapInArrow(lambda b: finish(b, find, buckets, result), schema)

@@ -2,16 +2,14 @@
 
 Removed is every byte under a string of ``WIDTH`` bytes that also starts in a
 document with a smaller id. To find the repeated strings, suffixes are ordered
-through ``WIDTH`` bytes only, by most-significant-digit passes: the first digit is
-the ``DIGIT`` bytes at a suffix, which deals suffixes into buckets and orders them
-there; suffixes whose digit is unique are finished. The next pass orders
-what is left by the rest of the ``WIDTH`` bytes; equal groups are exactly the
+through ``WIDTH`` bytes only, by most-significant-digit passes. The first pass deals them
+into buckets: of the suffixes that start inside a window, the one whose ``DIGIT`` bytes have the
+least hash stands for the window (see ``repeats``), so that a bucket is told of one
+suffix in about 16; what occurs once there is finished. The suffixes that are left are
+then ordered by their bytes, 8 to a digit: a pass splits each group by the next digit and
+drops groups of one, until ``WIDTH`` bytes are read. The equal groups are exactly the
 repeated windows.
 
-Not every suffix is sorted: of the suffixes that start inside a window, the one
-whose first digit has the least hash stands for it (see ``repeats``), which leaves
-about one suffix for 16 bytes and finds the same windows.
-
 Null texts count as empty. A row without doc_id keeps its text and takes nothing
 from others. Rows that repeat a doc_id don't remove each other's bytes, but lose what
 a smaller id has. An empty table gives no rows.
@@ -54,13 +52,10 @@ def finder(width: int = WIDTH, digit: int = DIGIT, chunk: int = K.BLOCK_BYTES) -
             text = np.searchsorted(starts, first, side="right") - 1
             # mixed anew: the least of many hashes are small, and buckets go by the size of the name
 
-            def window(which, sums=sums, first=first, count=count):
-                owner = np.repeat(which, count[which])
-                n = count[which]
-                begin = first[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-                return K.range_hash(sums, begin, begin + width, seed=5)
+            def body(which, buffer=buffer, first=first, count=count):
+                return [buffer[a:b].tobytes() for a, b in zip(first[which].tolist(), (first[which] + count[which] - 1 + width).tolist())]
 
-            parts.append(repeats.Anchors((ends - starts).tolist(), text + at, first - starts[text], first - place, count, K.mix(hashes[place], 23) >> K.U(16), K.range_hash(sums, first, first + count - 1 + width, seed=3), window))
+            parts.append(repeats.Anchors((ends - starts).tolist(), text + at, first - starts[text], first - place, count, K.mix(hashes[place], 23) >> K.U(16), K.range_hash(sums, first, first + count - 1 + width, seed=3), body))
         return repeats.Anchors.joined(parts) if parts else _none()
 
     return find
@@ -68,7 +63,13 @@ def finder(width: int = WIDTH, digit: int = DIGIT, chunk: int = K.BLOCK_BYTES) -
 
 def _none() -> repeats.Anchors:
     i, u = np.zeros(0, np.int64), np.zeros(0, K.U)
-    return repeats.Anchors([], i, i, i, i, u, u, lambda which: u)
+    return repeats.Anchors([], i, i, i, i, u, u, lambda which: [])
+
+
+def byte_units(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, int]:
+    """Bytes as units of 8 bits."""
+    sizes = np.fromiter(map(len, bodies), dtype=np.int64, count=len(bodies))
+    return np.frombuffer(b"".join(bodies), dtype=np.uint8).astype(K.U), np.cumsum(sizes) - sizes, 8
 
 
 def spans_of(size: int, first: np.ndarray, count: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -120,4 +121,4 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, chunk: int = K.BLOCK_BYTES) -> DataFrame:
     """Each document's kept bytes, and the spans (in bytes, end exclusive) that were removed."""
-    return repeats.repeated(docs, key, text, finder(width, chunk=chunk), result(width), SCHEMA)
+    return repeats.repeated(docs, key, text, width, finder(width, chunk=chunk), byte_units, result(width), SCHEMA)
