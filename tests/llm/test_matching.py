@@ -222,3 +222,80 @@ def test_secrets_beside_sample_strings_and_base_spans(make):
         assert [k[1:-1] in s.value for k, s in zip((key, more), high(i), strict=True)] == [True, True]
     assert [s.value for s in high(3)] == ["/" + key] and [s.kind for s in found[3].spans] == ["access", "entropy_mixed"]
     assert [s.value for s in high(4)] == [key + "/"] and not high(5) and not high(6)
+
+
+def test_tiles_are_exactly_those_of_the_loop():
+    """Longest first, then leftmost in the document, then leftmost in the item."""
+    import numpy as np
+
+    from stationlens.llm import kernels
+
+    def loop(doc, item, least):
+        free_doc, free_item, tiles, covered = [True] * len(doc), [True] * len(item), 0, 0
+        for length in range(min(len(doc), len(item)), least - 1, -1):
+            for d in range(len(doc) - length + 1):
+                for i in range(len(item) - length + 1):
+                    if all(free_doc[d : d + length]) and all(free_item[i : i + length]) and doc[d : d + length] == item[i : i + length]:
+                        free_doc[d : d + length] = free_item[i : i + length] = [False] * length
+                        tiles, covered = tiles + 1, covered + length
+        return tiles, covered
+
+    rng = random.Random(10)
+    code = lambda xs: kernels.mix(np.array(xs, dtype=np.uint64))
+    for _ in range(150):
+        doc, item = ([rng.randrange(3) for _ in range(rng.randrange(3, 40))] for _ in range(2))
+        assert decontaminate.tile(code(doc), code(item), 3) == loop(doc, item, 3)
+
+
+def test_decontamination_is_that_of_all_pairs(make, spark):
+    """Candidates lose nothing: every document is tiled with every item."""
+    import numpy as np
+
+    rng = random.Random(12)
+    words = lambda n: [f"w{rng.randrange(400)}" for _ in range(n)]
+    items = [words(rng.randrange(1, 40)) for _ in range(25)]
+    phrase = words(9)  # that most items and documents have
+    items += [words(6) + phrase + words(6) for _ in range(6)] + [["w1"], ["w1", "w2"]]
+    rows = []
+    for k in range(60):
+        parts = [words(rng.randrange(1, 60))]
+        for x in rng.sample(items, 3):
+            a = rng.randrange(len(x))
+            parts.append(x[a:] + x[:a] if rng.random() < 0.5 else x[: max(1, len(x) * 2 // 3)])
+        if rng.random() < 0.5:
+            parts.append(phrase)
+        rng.shuffle(parts)
+        rows.append((k, " ".join(w for p in parts for w in p) + rng.choice(["", "\nw1", "\nw1 w2\n"])))
+    benchmark = [(k, " ".join(x)) for k, x in enumerate(items)]
+
+    def codes(texts):
+        for _, all_codes, first, line in decontaminate.tokens(texts):
+            yield from ((all_codes[a:b], line[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist()))
+
+    expected = set()
+    for (d, _), (doc, line) in zip(rows, codes([t for _, t in rows])):
+        alone = [doc[line == x].tolist() for x in np.unique(line)]
+        for (i, _), (item, _) in zip(benchmark, codes([t for _, t in benchmark])):
+            n, covered = decontaminate.tile(doc, item, min(decontaminate.SEED, len(item)))
+            if covered >= 0.5 * len(item) and (len(item) >= decontaminate.SHORT or item.tolist() in alone):
+                expected.add((d, i, n, covered))
+    table = spark.createDataFrame(benchmark, "item_id long, text string")
+    for size in (1 << 20, 64):
+        found = decontaminate.contaminated(make(rows), table, block_bytes=size).collect()
+        assert {(r.doc_id, r.item_id, r.n_tiles, r.n_covered) for r in found} == expected and len(found) == len(expected) > 50
+
+
+def test_tokens_are_letters_marks_and_digits_of_any_script(make, spark):
+    item = "Ein Zug fährt um 10 Uhr – das „Ziel“ ist naïve Straße हिन्दी 𝔘"
+    benchmark = spark.createDataFrame([(1, item), (2, "w")], "item_id long, text string")
+    rows = [(1, "“" + item.replace("–", "—").replace(" ", " … ") + "”"), (2, "the w is a word\nand w too"), (3, "line\nw\nline"), (4, "ein zug fährt")]
+    found = {(r.doc_id, r.item_id): r.coverage for r in decontaminate.contaminated(make(rows), benchmark).collect()}
+    assert found == {(1, 1): 1.0, (3, 2): 1.0}
+
+
+def test_decontamination_of_a_very_long_text(make, spark):
+    rng = random.Random(4)
+    item = [f"q{rng.randrange(900)}" for _ in range(30)]
+    text = " ".join(["filler"] * 200_000 + item + ["filler"] * 1000)
+    benchmark = spark.createDataFrame([(1, " ".join(item)), (1, " ".join(item))], "item_id long, text string")
+    assert [r.n_covered for r in decontaminate.contaminated(make([(1, text), (1, text)]), benchmark).collect()] == [30] * 4
