@@ -10,15 +10,18 @@ a signature of chunks of b-bit MinHash values. By the pigeonhole principle two
 signatures that differ in fewer than chunks * (errors + 1) values have a chunk that
 differs in at most ``errors``; so each chunk is listed once for every way to leave
 out that many values, and all pairs under that distance meet in a bucket. For
-similar sets the chance of a greater distance is about 4e-6 at similarity 0.85 with
-the default 4 chunks of 5 and 2 errors, and 1.2e-5 at 0.8 with 5 chunks.
+similar sets the chance of a greater distance is about 5e-9 at similarity 0.85 with
+6 chunks of 5 and 2 errors, and 1e-7 at 0.8 with 7 chunks.
 
 Buckets of up to ``SMALL`` classes give their pairs under the signature distance and
-the size bound. Larger buckets are dealt into blocks of about ``GROUP`` classes, a task
-for each two blocks; there a pair is looked at only in the first bucket that it
-shares, and only while links found so far don't connect it, so that a task returns
-fewer links than it has classes. All links are confirmed on the full sets (of 64-bit
-shingle hashes). Components are found by star contraction.
+the size bound. In larger buckets, every class is paired with one of them, the pivot, chosen by the
+least hash, so that buckets of one family mostly choose the same. All pairs are confirmed on
+the full sets (of 64-bit shingle hashes), and the links make components. What a bucket
+then still has outside its largest component is dealt into blocks of about ``GROUP`` classes,
+a task for each two blocks, and compared with each other and with that component; there a
+pair is looked at only in the first bucket that it shares, and only while no links
+connect it. So a family of near copies sends its texts a few times, whatever its size, and only what no pivot
+is like is compared with all. Components are found by star contraction.
 
 Rows that repeat a doc_id count as one document with the links of all its texts. A
 row without doc_id is linked with nothing and kept. An empty table gives no rows.
@@ -118,7 +121,7 @@ class _Union:
 
 
 def _confirm(batches: Iterator[pa.RecordBatch], scheme: Scheme) -> Iterator[pa.RecordBatch]:
-    """Links of the groups: of a star's centre (part < 0), or of two blocks of the bucket of key ``part``."""
+    """Links of the groups: with a star's centres (part < 0), or of two blocks of the bucket of key ``part``."""
     shared.kept("neardup")
     for gid, rows in shared.runs(batches, "gid"):
         ids = rows.column("doc_id").to_pylist()
@@ -127,18 +130,16 @@ def _confirm(batches: Iterator[pa.RecordBatch], scheme: Scheme) -> Iterator[pa.R
         found = list(sets(shared.binaries(rows.column("text")), scheme.words))
         links: list[tuple[int, int]] = []
         if part < 0:
-            centres = [k for k in range(len(ids)) if side[k] == 0]
-            for k in range(len(ids)):
-                if side[k] == 1 and any(_similar(found[c], found[k], scheme.percent) for c in centres):
-                    links.append((ids[centres[0]], ids[k]))
+            centres = np.flatnonzero(side == 0).tolist()
+            links = [(ids[c], ids[k]) for k in np.flatnonzero(side == 1).tolist() for c in centres if _similar(found[c], found[k], scheme.percent)]
         elif len(ids) > 1:
-            links = [(ids[a], ids[b]) for a, b in _block_links(found, side, part, scheme)]
+            links = [(ids[a], ids[b]) for a, b in _block_links(found, side, rows.column("comp").to_numpy(), part, scheme)]
         links = [(a, b) for a, b in links if a != b]
         if links:
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], names=["a", "b"])
 
 
-def _block_links(found: list[np.ndarray], side: np.ndarray, part: int, scheme: Scheme) -> Iterator[tuple[int, int]]:
+def _block_links(found: list[np.ndarray], side: np.ndarray, component: np.ndarray, part: int, scheme: Scheme) -> Iterator[tuple[int, int]]:
     slots = np.stack([signature(x, scheme.slots) for x in found])
     size = np.array([len(x) for x in found])
     left = np.flatnonzero(side == 0)
@@ -149,6 +150,7 @@ def _block_links(found: list[np.ndarray], side: np.ndarray, part: int, scheme: S
         same = slots[here][:, None, :] == slots[right][None, :, :]
         distance = scheme.slots - same.sum(axis=2)
         want = (distance <= scheme.distance) & (100 * np.minimum(size[here][:, None], size[right]) >= scheme.percent * np.maximum(size[here][:, None], size[right]))
+        want &= component[here][:, None] != component[right]
         if right is left:
             want &= here[:, None] < right
         for earlier in scheme.indexes[:part]:
@@ -156,10 +158,11 @@ def _block_links(found: list[np.ndarray], side: np.ndarray, part: int, scheme: S
         a, b = np.nonzero(want)
         met.append(np.stack([here[a], right[b], distance[a, b]]))
     a, b, distance = np.concatenate(met, axis=1)
-    groups = _Union(len(found))
+    _, component = np.unique(component, return_inverse=True)
+    groups = _Union(len(found))  # of components
     for k in np.argsort(distance, kind="stable").tolist():
         x, y = int(a[k]), int(b[k])
-        p, q = groups.find(x), groups.find(y)
+        p, q = groups.find(int(component[x])), groups.find(int(component[y]))
         if p != q and _similar(found[x], found[y], scheme.percent):
             groups.up[p] = q
             yield x, y
@@ -170,6 +173,25 @@ def _differing(scheme: Scheme):
     return sum((F.expr(f"int(substring(x.slots, {2 * s + 1}, 2) <> substring(y.slots, {2 * s + 1}, 2))") for s in range(scheme.slots)), F.lit(0))
 
 
+def _open_blocks(large: DataFrame, found: DataFrame) -> DataFrame:
+    """gid, part, side, doc_id and comp of the pairs of blocks in which large buckets may hold links between components."""
+    placed = large.join(found, large["rep"] == found["node"], "left").select("bucket", "part", "g", "rep", F.coalesce("component", "rep").alias("comp"))
+    placed = shared.materialize(placed, "placed")
+    sizes = placed.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
+    main = shared.materialize(sizes.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("m"), F.sum("n").alias("g")).where("g > m.n").select("bucket", F.col("m.comp").alias("main"), F.col("m.n").alias("n_main"), (F.col("g") - F.col("m.n")).alias("n_others")), "main")
+    both = placed.select("bucket", "part", "rep", "comp").join(main, "bucket")
+    others, mains = both.where("comp <> main"), both.where("comp = main")
+    n_blocks = lambda n: F.ceil(F.col(n) / GROUP).cast("long")
+    own = lambda n: F.pmod(F.xxhash64("rep", F.lit(7)), n_blocks(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n_blocks(n) - 1))
+    among = others.withColumns({"own": own("n_others")}).withColumn("other", every("n_others"))
+    among = among.select(F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("gid"), "part", F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side"), F.col("rep").alias("doc_id"), "comp")
+    gid = F.xxhash64("bucket", F.lit("main"), "here", "there").alias("gid")
+    left = others.withColumn("here", own("n_others")).withColumn("there", every("n_main")).select(gid, "part", F.lit(0).alias("side"), F.col("rep").alias("doc_id"), "comp")
+    right = mains.withColumn("there", own("n_main")).withColumn("here", every("n_others")).select(gid, "part", F.lit(1).alias("side"), F.col("rep").alias("doc_id"), "comp")
+    return among.unionByName(left).unionByName(right)
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", scheme: Scheme = Scheme()) -> DataFrame:
     """doc_id, n_shingles, component_id and kept, of each row."""
     spark = docs.sparkSession
@@ -183,24 +205,32 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sc
     members = listed.join(shared_buckets, "bucket").join(classes.select("rep", "n", "slots"), "rep")
     members = shared.materialize(members, "members")
 
+    close = (100 * F.least("x.n", "y.n") >= scheme.percent * F.greatest("x.n", "y.n")) & (_differing(scheme) <= scheme.distance)
     small = members.where(f"g <= {SMALL}").select("bucket", "rep", "n", "slots")
     met = small.alias("x").join(small.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.rep") < F.col("y.rep")))
-    close = (100 * F.least("x.n", "y.n") >= scheme.percent * F.greatest("x.n", "y.n")) & (_differing(scheme) <= scheme.distance)
-    pairs = met.where(close).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    pairs = shared.materialize(pairs, "pairs")
-    star = pairs.select(F.col("a").alias("gid"), F.lit(-1).alias("part"), F.lit(1).alias("side"), F.col("b").alias("doc_id")).union(pairs.select("a", F.lit(-1), F.lit(0), "a").distinct())
-
-    blocks = F.ceil(F.col("g") / GROUP).cast("long")
-    own = F.pmod(F.xxhash64("rep", F.lit(7)), blocks)
-    large = members.where(f"g > {SMALL}").select("bucket", "part", F.col("rep").alias("doc_id"), own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
-    dealt = large.select(F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("gid"), "part", F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side"), "doc_id")
-
-    groups = shared.materialize(star.unionByName(dealt), "groups")
-    # what is to be confirmed grows with the input, so texts are always dealt by id
-    with_text = rows.join(groups.hint("merge"), "doc_id").select("gid", "part", "side", "doc_id", "text")
-    into = max(int(spark.conf.get("spark.sql.shuffle.partitions")), groups.count() // 2000)
-    links = with_text.repartition(into, "part", "gid").sortWithinPartitions("part", "gid", "doc_id").mapInArrow(lambda b: _confirm(b, scheme), "a long, b long")
-    found = components(links)
+    pairs = met.where(close).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), F.lit(0).cast("long").alias("piece"))
+
+    large = members.where(f"g > {SMALL}")
+    # written, so that the join has an exchange on either side and AQE can split a bucket of many
+    pivots = shared.materialize(large.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("rep"), "rep", "n", "slots")).alias("p")).select("bucket", "p.rep", "p.n", "p.slots"), "pivots")
+    met = pivots.alias("x").join(large.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.rep") != F.col("y.rep")))
+    # a pivot's star is dealt in pieces of about GROUP classes; a class is in the same one in all buckets of about its size
+    piece = F.pmod(F.xxhash64("y.rep", F.lit(7)), F.pow(F.lit(2.0), F.ceil(F.log2(F.col("y.g") / GROUP + 1))).cast("long"))
+    pairs = shared.materialize(pairs.unionByName(met.where(close).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), piece.alias("piece"))).groupBy("a", "b").agg(F.min("piece").alias("piece")), "pairs")
+    star = pairs.select(F.xxhash64("a", "piece").alias("gid"), "a", "b")
+    stars = star.select("gid", F.lit(-1).alias("part"), F.lit(1).alias("side"), F.col("b").alias("doc_id"), F.lit(0).cast("long").alias("comp"))
+    stars = shared.materialize(stars.unionByName(star.select("gid", F.lit(-1).alias("part"), F.lit(0).alias("side"), F.col("a").alias("doc_id"), F.lit(0).cast("long").alias("comp")).distinct()), "stars")
+
+    def confirmed(groups: DataFrame) -> DataFrame:
+        # what is to be confirmed grows with the input, so texts are always dealt by id
+        with_text = rows.join(groups.hint("merge"), "doc_id").select("gid", "part", "side", "doc_id", "comp", "text")
+        into = max(int(spark.conf.get("spark.sql.shuffle.partitions")), groups.count() // 2000)
+        return with_text.repartition(into, "part", "gid").sortWithinPartitions("part", "gid", "doc_id").mapInArrow(lambda b: _confirm(b, scheme), "a long, b long")
+
+    found = shared.materialize(components(confirmed(stars)), "components")
+    dealt = shared.materialize(_open_blocks(large, found), "blocks")
+    if not dealt.isEmpty():
+        found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(confirmed(dealt)))
 
     of_class = classes.join(found, F.col("rep") == F.col("node"), "left").select("h1", "h2", "n", F.coalesce("component", "rep").alias("component_id"))
     out = signed.join(of_class, ["h1", "h2", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("c"))

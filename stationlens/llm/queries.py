@@ -20,7 +20,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"), scheme=neardup.Scheme(words=3, percent=85))
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), scheme=neardup.Scheme(words=3, percent=85, chunks=6))
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

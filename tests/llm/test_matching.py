@@ -299,3 +299,26 @@ def test_decontamination_of_a_very_long_text(make, spark):
     text = " ".join(["filler"] * 200_000 + item + ["filler"] * 1000)
     benchmark = spark.createDataFrame([(1, " ".join(item)), (1, " ".join(item))], "item_id long, text string")
     assert [r.n_covered for r in decontaminate.contaminated(make([(1, text), (1, text)]), benchmark).collect()] == [30] * 4
+
+
+def test_a_family_of_near_copies_sends_its_texts_about_once(make, monkeypatch):
+    rng = random.Random(21)
+    base = [f"w{rng.randrange(5000)}" for _ in range(150)]
+    rows = []
+    for i in range(2000):
+        w = list(base)
+        w[rng.randrange(len(w))] = f"x{i}"
+        rows.append((i, " ".join(w)))
+    sent = {}
+    write = neardup.shared.materialize
+
+    def counted(df, name):
+        out = write(df, name)
+        sent[name] = out.count()
+        return out
+
+    monkeypatch.setattr(neardup.shared, "materialize", counted)
+    found = neardup.near_duplicates(make(rows), scheme=neardup.Scheme(3, 85, 6)).collect()
+    assert {r.component_id for r in found} == {0} and sent["classes"] == 2000
+    # buckets by the dozen hold the whole family; each class goes to a few pivots, and nothing is left open
+    assert sent["members"] > 20 * 2000 and sent["stars"] < 12 * 2000 and sent["blocks"] == 0
