@@ -39,7 +39,7 @@ def _with_row(docs: DataFrame) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(2) Keep the row of least id of each component (null last, then by hash); of rows that repeat id and text, one."""
     rows = _with_row(docs)
-    found = neardup.near_duplicates(rows, key="row_", scheme=neardup.Scheme(words=5, percent=80, chunks=5))
+    found = neardup.near_duplicates(rows, key="row_", scheme=neardup.Scheme(words=5, percent=80, chunks=7))
     found = materialize(found.select(F.col("doc_id").alias("row_"), "component_id", "kept"), "kept")
     # what goes, and rows that repeat, are the few: only they are joined with the texts
     groups = found.where("not kept").select("component_id").distinct()
