@@ -17,19 +17,24 @@ A wrapper is matched against each of its host's pages to get the main text:
   what stands at the place of these groups; a page that matches no group is taken as
   a host of its own.
 * Inside, groups of menus, headers, footers, sidebars, notices, adverts, forms,
-  scripts and comments are left out, by element, role, or a word of class or id.
+  scripts and comments are left out, by element, role, or a word of class or id. A word is
+  a hint only: what holds the page's <main> or <h1> isn't left out for it.
 * Without a marked region, text that the wrapper holds as template text of a host
   with ``AGREE`` or more pages is left out too; template text within a marked region is
   kept, as an article may be posted many times.
 
 Blocks are joined by newlines; character references are decoded and white space in
 a block becomes one space. A null or empty page gives the empty string. Broken or
-cut-off markup closes at the end of the page. Pages that repeat are treated alike.
+cut-off markup closes at the end of the page. Pages that repeat are treated alike. Very
+long and very deep pages are read whole: in a wrapper, what lies deeper than ``DEEP``
+elements stands side by side there (see ``below``).
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as references
+import math
 import re
 from collections.abc import Iterator
 
@@ -43,6 +48,10 @@ from . import shared
 AGREE = 4
 #: Nodes from which a wrapper's rare groups are joined, least often seen first, once it is aligned.
 MOST_NODES = 400
+#: Depth from which a wrapper holds what is deeper side by side.
+DEEP = 40
+#: Longer template texts are held by a digest.
+LONG = 40
 
 # Element names and words of class, id and role, as HTML and its common usage define them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -62,13 +71,27 @@ SPACE = re.compile(r"\s+")
 class Node:
     """An element or (name '') a text."""
 
-    __slots__ = ("name", "label", "kids", "text", "apart", "region")
+    __slots__ = ("name", "label", "kids", "text", "apart", "region", "hint")
 
     def __init__(self, name: str, label: str = "", text: str = "", apart: bool = False, region: bool = False):
         self.name, self.label, self.text, self.apart, self.region = name, label, text, apart, region
+        self.hint = False  # apart for a word of class or id alone
         self.kids: list[Node] = []
 
 
+def below(node: Node, depth: int) -> list[Node]:
+    """What a wrapper holds in a node at this depth: its kids; at ``DEEP`` all that is deeper as well, but within regions, links and what stands apart."""
+    if depth != DEEP:
+        return node.kids if depth < DEEP else []
+    out, todo = [], node.kids[::-1]
+    while todo:
+        x = todo.pop()
+        out.append(x)
+        if not (x.apart or x.region or x.name == "a"):
+            todo += x.kids[::-1]
+    return out
+
+
 def parse(page: str) -> Node:
     """The tree of a page. Texts keep their white space; character references are decoded."""
     root = Node("#")
@@ -94,14 +117,20 @@ def parse(page: str) -> Node:
                 if stack[k].name in SCOPES and name not in SCOPES:
                     break
             continue
-        label, apart, region = name, name in APART, name in ("article", "main")
+        label, apart, region, hint = name, name in APART, name in ("article", "main"), False
+        if name in ("h1", "main"):
+            for x in stack:
+                if x.hint:
+                    x.apart = x.hint = False
         if m.group(3) and "=" in m.group(3) or "hidden" in m.group(3):
             found = {a.lower(): b or c or d for a, b, c, d in ATTRIBUTE.findall(m.group(3))}
             words = f"{found.get('class', '')} {found.get('id', '')}"
             role = found.get("role", "").lower()
             label = f"{name}.{found.get('class', '')}"
-            apart = apart or role in ROLES or "hidden" in found or found.get("aria-hidden") == "true" or (not region and bool(WORDS.search(words)) and name not in ("html", "body"))
+            apart = apart or role in ROLES or "hidden" in found or found.get("aria-hidden") == "true"
             region = region or role in ("main", "article")
+            hint = not (apart or region) and bool(WORDS.search(words)) and name not in ("html", "body", "h1")
+            apart = apart or hint
         if name in CLOSES or name == "hr" or name not in INLINE | VOID | RAW:
             shut = CLOSES.get(name, {"p"})
             for k in range(len(stack) - 1, 0, -1):
@@ -113,6 +142,7 @@ def parse(page: str) -> Node:
         if name in ("header", "footer") and any(x.region for x in stack):
             apart = name == "footer" or apart
         node = Node(name, label, apart=apart, region=region)
+        node.hint = hint
         stack[-1].kids.append(node)
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
@@ -123,22 +153,26 @@ def parse(page: str) -> Node:
 
 
 # A wrapper is a nested list [label, times, pages, repeated, optional, text, kids, kind, mass]:
-# times it was seen in all and pages that had it; text is its template text, None for
-# a slot, "" for an element; kind tells regions and what stands apart; mass is the
+# times it was seen in all and pages that had it; text holds the template texts, which all
+# pages that had it have in it (none for a slot, None if its groups were joined), "" for an element; kind tells regions and what stands apart; mass is the
 # length of its own texts outside links, summed over pages.
 PLAIN, REGION, APARTNESS, LINK, PARAGRAPH = range(5)
 
 
+def _key(words: str) -> str:
+    """What a template text is held by."""
+    return words if len(words) <= LONG else "\1" + hashlib.sha1(words.encode("utf-8", "surrogatepass")).hexdigest()
+
+
 def wrapper_of(node: Node, depth: int = 0) -> list:
     kids: list[list] = []
-    if depth < 40:
-        for k in node.kids:
-            if k.name == "":
-                words = SPACE.sub(" ", k.text).strip()
-                if words:
-                    kids.append(["#text", 1, 1, False, False, words if len(words) <= 200 else None, [], PLAIN, len(words)])
-            elif k.name not in VOID:
-                kids.append(wrapper_of(k, depth + 1))
+    for k in below(node, depth):
+        if k.name == "":
+            words = SPACE.sub(" ", k.text).strip()
+            if words:
+                kids.append(["#text", 1, 1, False, False, [_key(words)], [], PLAIN, len(words)])
+        elif k.name not in VOID:
+            kids.append(wrapper_of(k, depth + 1))
     return [node.label or node.name, 1, 1, False, False, "", fold(kids), _kind(node), 0]
 
 
@@ -177,8 +211,11 @@ def align(into: list, other: list, same_page: bool = False) -> None:
     into[3] = into[3] or other[3]
     into[4] = into[4] or other[4]
     into[8] += other[8]
-    if into[5] != other[5]:
-        into[5] = None
+    if into[0] == "#text":
+        if into[5] is None or other[5] is None:
+            into[5] = None
+        else:
+            into[5] = sorted(set(into[5]) | set(other[5]) if same_page else set(into[5]) & set(other[5]))
     into[6] = fold(_merge(into[6], other[6], same_page))
 
 
@@ -188,6 +225,16 @@ def _merge(a: list[list], b: list[list], same_page: bool) -> list[list]:
         for x, y in zip(a, b):
             align(x, y, same_page)
         return a
+    # what agrees at either end needs no table
+    head = tail = 0
+    while head < min(len(a), len(b)) and a[head][0] == b[head][0]:
+        align(a[head], b[head], same_page)
+        head += 1
+    while tail < min(len(a), len(b)) - head and a[-1 - tail][0] == b[-1 - tail][0]:
+        align(a[-1 - tail], b[-1 - tail], same_page)
+        tail += 1
+    before, after = a[:head], a[len(a) - tail :]
+    a, b = a[head : len(a) - tail], b[head : len(b) - tail]
     n, m = len(a), len(b)
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
@@ -207,7 +254,7 @@ def _merge(a: list[list], b: list[list], same_page: bool) -> list[list]:
             b[j][4] = True
             out.append(b[j])
             j += 1
-    return out
+    return before + out + after
 
 
 def nodes(w: list) -> int:
@@ -230,7 +277,7 @@ def prune(w: list, most: int = MOST_NODES) -> list:
 
 
 def _is_joined(x: list) -> bool:
-    return x[5] is None if x[0] == "#text" else "\0" in x[0]
+    return not x[5] if x[0] == "#text" else "\0" in x[0]
 
 
 def _walk(w: list) -> Iterator[list]:
@@ -264,7 +311,7 @@ def _join(w: list, least: int) -> None:
 def expression(w: list) -> str:
     """The wrapper as a regular expression."""
     if w[0] == "#text":
-        body = "#TEXT" if w[5] is None else re.escape(w[5])
+        body = re.escape(w[5][0]) if w[5] and len(w[5]) == 1 else "#TEXT"
     else:
         body = f"<{w[0]}>" + "".join(map(expression, w[6])) + f"</{w[0].split('.')[0]}>"
     return body if not (w[3] or w[4]) else f"({body})" + ("*" if w[3] and w[4] else "+" if w[3] else "?")
@@ -292,7 +339,7 @@ class Extractor:
                     break  # what is inside has no common shape
             self.paths.add(path)
             if wrapper[2] >= AGREE:
-                self.template = {x[5] for x in _walk(wrapper) if x[0] == "#text" and x[5] and x[2] >= max(AGREE, 0.9 * wrapper[2])}
+                self.template = {t for x in _walk(wrapper) if x[0] == "#text" and x[5] for t in x[5] if x[2] >= max(AGREE, 0.9 * wrapper[2])}
 
     def _find(self, w: list, path: tuple[str, ...]) -> bool:
         """Add the outermost regions; <main> gives way to the regions that it holds."""
@@ -327,25 +374,25 @@ class Extractor:
         while todo:
             x, path = todo.pop()
             if self.marked and "\0" in path[-1]:
-                found += _regions(x)  # groups of any class: the page tells its own regions
+                found += _regions(x, len(path) - 1)  # groups of any class: the page tells its own regions
             elif path in self.paths:
                 found.append(x)
             else:
-                todo += [(k, self._place(k, path)) for k in reversed(x.kids) if k.name]
+                todo += [(k, self._place(k, path)) for k in reversed(below(x, len(path) - 1)) if k.name]
         if not found:
             return Extractor(wrapper_of(root))(page) if self.paths else ""
         blocks: list[str] = []
         for x in found:
             _blocks(x, blocks)
-        return "\n".join(b for b in blocks if b not in self.template)
+        return "\n".join(b for b in blocks if _key(b) not in self.template)
 
 
-def _regions(node: Node, depth: int = 0) -> list[Node]:
+def _regions(node: Node, depth: int) -> list[Node]:
     """The outermost regions of a page's node, as in a wrapper of its own."""
     if node.apart:
         return []
     is_article = node.region and (node.label or node.name).startswith("article")
-    inner = [r for k in node.kids if k.name for r in _regions(k, depth + 1)] if depth < 40 and not is_article else []
+    inner = [r for k in below(node, depth) if k.name for r in _regions(k, depth + 1)] if not is_article else []
     return inner or ([node] if node.region else [])
 
 
@@ -426,7 +473,12 @@ def wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFram
             yield pa.RecordBatch.from_arrays([pa.array([host]), pa.array([json.dumps(prune(whole))])], names=["host", "wrapper"])
 
     shape = "host string, wrapper string"
-    return rows.mapInArrow(local, shape).repartition("host").sortWithinPartitions("host").mapInArrow(joined, shape)
+    found = rows.mapInArrow(local, shape)
+    # a host in all tasks gives each a wrapper: they meet in as many groups as the root of the tasks, then those
+    groups = math.isqrt(shared.parts(pages.sparkSession, shared.size_in_bytes(pages, html), 64 << 20))
+    if groups > 1:
+        found = found.repartition("host", F.pmod(F.xxhash64("wrapper"), F.lit(groups))).sortWithinPartitions("host").mapInArrow(joined, shape)
+    return found.repartition("host").sortWithinPartitions("host").mapInArrow(joined, shape)
 
 
 def _host(url: str):
