@@ -63,6 +63,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def pack_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Instruction data under all three limits of op5: tokens, segments and loss-bearing tokens, which differ here."""
+    return packing.pack_conversations(table(spark, sf_dir, "conversations"))
+
+
 OPERATORS = (op1_line_dedup, op2_minhash, op3_secrets, op4_recompression, op5_packing, op6_langid, op7_spotsigs, op8_decontaminate, op9_html, op10_suffix_dedup)
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in OPERATORS}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (*OPERATORS, pack_conversations)}
 ORACLES: dict[str, str] = oracles.ORACLES

@@ -7,10 +7,11 @@ is its set of signatures, in hexadecimal, ascending. A text with words but no si
 is its own one; a text without words is its own signature too, but the empty text
 has the empty set.
 
-Likeness is the Jaccard index of the sets. For pairs, sets are partitioned by
-length: sets whose lengths differ by more than the threshold allows can't reach it,
+Likeness is the Jaccard index of the sets. The next document is found by spans of ids that
+hold about ``SPAN`` rows each, whatever the ids' range, and rows without an id by spans of the hash
+of their text. For pairs (``alike``), sets are partitioned by length: sets whose lengths differ by more than the threshold allows can't reach it,
 and are neither joined nor compared; within a partition candidates share one of the
-first signatures of either, as many as the threshold leaves open.
+rarest signatures of either, as many as the threshold leaves open.
 
 A null text counts as empty. Rows that repeat a doc_id follow each other by the hash of
 their texts; rows without doc_id come last. An empty table gives no rows.
@@ -27,8 +28,10 @@ from . import shared
 # Common words of four languages, as any stop word list has them.
 ANCHORS = "the of and to is that / der die und den das ist / le la les de et une / el los que en y las".replace("/", "").split()
 CHAIN = 2
-#: Ids of one window of the neighbour search.
+#: Rows of one window of the neighbour search, about.
 SPAN = 512
+#: Spans of one window over spans.
+SPANS = 4096
 
 
 _SIGN = "cast(conv(substring(md5(cast({} as binary)), 1, 8), 16, 10) as bigint)"
@@ -55,24 +58,40 @@ def fingerprint(signs: str) -> Column:
 
 
 def likeness(a: str, b: str) -> Column:
-    """The Jaccard index; the intersection is only formed where the lengths leave one open."""
+    """The Jaccard index; the intersection is only formed where neither set is empty."""
     both = F.size(F.array_intersect(a, b))
     return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).when(F.least(F.size(a), F.size(b)) == 0, F.lit(0.0)).otherwise(both / (F.size(a) + F.size(b) - both))
 
 
+def _span(docs: DataFrame, key: str) -> Column:
+    """The number of a row's span, of doc_id and tie: it falls as rows follow each other by descending id, then by tie among rows without an id."""
+    least, most, n, rows = docs.select(F.col(key).cast("long").alias("i")).agg(F.min("i"), F.max("i"), F.count("i"), F.count("*")).first()
+    width = max(2, ((most or 0) - (least or 0)) * SPAN // max(n, 1))
+    bits = max(0, ((rows - n) // SPAN).bit_length())
+    of_null = F.lit(-(1 << 62) - 1) - (F.shiftright("tie", 64 - bits) + (1 << bits >> 1) if bits else F.lit(0))
+    return F.coalesce(F.floor(F.col("doc_id") / F.lit(width)), of_null)
+
+
+def _followers(spans: DataFrame) -> DataFrame:
+    """(span, next_span): the next lower one that there is, after the least the greatest."""
+    near = spans.select("span", F.floor(F.col("span") / SPANS).alias("upper"))
+    below = near.select("span", "upper", F.lead("span").over(W.partitionBy("upper").orderBy(F.desc("span"))).alias("below"))
+    # one row for SPANS * SPAN documents, in one window
+    tops = near.groupBy("upper").agg(F.max("span").alias("top"))
+    in_order = W.orderBy(F.desc("upper"))
+    jump = tops.select("upper", F.coalesce(F.lead("top").over(in_order), F.first("top").over(in_order)).alias("jump"))
+    return below.join(jump, "upper").select("span", F.coalesce("below", "jump").alias("next_span"))
+
+
 def compared_with_edits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints of each text and of its text with the last third taken from the next document, and how alike they are."""
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumns({"tie": F.xxhash64("text"), "span": F.coalesce(F.floor(F.col("doc_id") / SPAN), F.lit(-(1 << 62)))})
-    # the document after a span's last is the first of the next lower span: found from the ids alone
-    ids = docs.select(F.col(key).cast("long").alias("doc_id")).withColumn("span", F.coalesce(F.floor(F.col("doc_id") / SPAN), F.lit(-(1 << 62))))
-    spans = shared.materialize(ids.groupBy("span").agg(F.max("doc_id").alias("head")), "spans")
-    in_order = W.orderBy(F.desc("span"))
-    follows = spans.select("span", F.coalesce(F.lead("span").over(in_order), F.first("span").over(in_order)).alias("next_span"))
-    heads = spans.select(F.col("span").alias("next_span"), "head").join(follows, "next_span").select("span", "next_span", "head")
-    first = rows.join(spans.withColumnRenamed("span", "s"), (F.col("span") == F.col("s")) & F.col("doc_id").eqNullSafe(F.col("head")))
-    first = first.groupBy("span").agg(F.min_by("text", "tie").alias("head_text")).withColumnRenamed("span", "next_span")
-    heads = heads.join(first, "next_span").select("span", "head_text")
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
+    rows = rows.withColumn("span", _span(docs, key))
+    # the document after a span's last is the first of the next lower span
+    place = F.struct(F.coalesce(F.col("doc_id"), F.lit(0)).alias("i"), (-F.col("tie").cast("decimal(20,0)")).alias("t"))
+    spans = shared.materialize(rows.groupBy("span").agg(F.max(place).alias("head")), "spans")
+    first = rows.join(spans, "span").where(place == F.col("head")).groupBy("span").agg(F.first("text").alias("head_text")).withColumnRenamed("span", "next_span")
+    heads = _followers(spans).join(first, "next_span").select("span", "head_text")
 
     within = W.partitionBy("span").orderBy(F.desc_nulls_last("doc_id"), "tie")
     signed = signatures(rows, "text", "signs")
@@ -97,10 +116,16 @@ def alike(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float
     """Pairs (a, b) of representatives of equal fingerprints, a < b, whose likeness is at least ``least``, with the size of either class."""
     rows = signatures(docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")), "text", "signs")
     classes = rows.where(F.size("signs") > 0).groupBy("signs").agg(F.min("doc_id").alias("id"), F.count("*").alias("members")).withColumn("n", F.size("signs"))
-    # sets of likeness t share one of the first n - ceil(t n) + 1 signatures, and lie in the same or the next partition of lengths
+    classes = shared.materialize(classes, "classes")
+    # sets of likeness t share one of the first n - ceil(t n) + 1 signatures in any order that all sets have: by rarity,
+    # so that a signature that many sets have is joined for few of them
+    every = classes.select("id", "n", F.explode("signs").alias("sign"))
+    often = shared.materialize(every.groupBy("sign").agg(F.count("*").alias("often")), "often")
+    rank = F.row_number().over(W.partitionBy("id").orderBy("often", "sign"))
+    open_ = every.join(often, "sign").withColumn("rank", rank).where(F.col("rank") <= F.col("n") - F.ceil(F.lit(least) * F.col("n") - 1e-9) + 1)
+    # they lie in the same or the next partition of lengths
     partition = F.floor(F.log("n") / F.lit(-1).cast("double") / F.log(F.lit(least)))
-    first = classes.withColumns({"partition": partition, "open": F.expr(f"slice(signs, 1, n - int(ceil({least} * n - 1e-9)) + 1)")})
-    listed = first.select("id", "n", "partition", F.explode("open").alias("sign"))
+    listed = shared.materialize(open_.select("id", "n", partition.alias("partition"), "sign"), "listed")
     other = listed.select(F.col("id").alias("id2"), F.col("n").alias("n2"), F.explode(F.array(F.col("partition"), F.col("partition") + 1)).alias("partition"), "sign")
     met = listed.join(other, ["partition", "sign"]).where("id <> id2").where(F.least("n", "n2") >= least * F.greatest("n", "n2") - 1e-9)
     pairs = met.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()

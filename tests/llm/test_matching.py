@@ -322,3 +322,24 @@ def test_a_family_of_near_copies_sends_its_texts_about_once(make, monkeypatch):
     assert {r.component_id for r in found} == {0} and sent["classes"] == 2000
     # buckets by the dozen hold the whole family; each class goes to a few pivots, and nothing is left open
     assert sent["members"] > 20 * 2000 and sent["stars"] < 12 * 2000 and sent["blocks"] == 0
+
+
+def test_next_documents_of_sparse_missing_and_repeated_ids(make, monkeypatch):
+    """The order holds whatever the ids are: sparse over 60 bits, negative, missing in many rows."""
+    monkeypatch.setattr(spotsigs, "SPAN", 4)
+    monkeypatch.setattr(spotsigs, "SPANS", 4)
+    rng = random.Random(6)
+    rows = [(rng.randrange(-(1 << 60), 1 << 60), f"text {k} the end") for k in range(60)] + [(k, f"row {k} of it") for k in range(40)] + [(None, f"lost {k} and found") for k in range(70)]
+    found = {}
+    for r in spotsigs.compared_with_edits(make(rows)).collect():
+        found.setdefault(r.doc_id, set()).add(r.edited_sha256)
+    edited = lambda a, b: hashlib.sha256((a[: len(a) - len(a) // 3] + b[: len(a) // 3]).encode()).hexdigest()
+    known = sorted((r for r in rows if r[0] is not None), reverse=True)
+    for (i, a), (_, b) in zip(known, known[1:]):
+        assert found[i] == {edited(a, b)}
+    # rows without an id follow each other, the last one the first document
+    lost = [t for i, t in rows if i is None]
+    assert len(found[None]) == 70 and len(found[None] & {edited(t, known[0][1]) for t in lost}) == 1
+    follows = {edited(a, b): (a, b) for a in lost for b in lost if a != b}
+    inside = [follows[x] for x in found[None] if x in follows]
+    assert len({a for a, _ in inside}) >= 69 and found[known[-1][0]] <= {edited(known[-1][1], t) for t in lost}
