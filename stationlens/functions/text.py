@@ -9,9 +9,10 @@ from functools import cache
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import LongType, StringType
 
 # Separators, edge characters, junk titles and broken encodings.
+SPACE = r"[\s\x1c-\x1f]"
 SEPARATOR = r"(?U)\s+[-–—]\s+"
 EDGE = " -–—\"'"
 JUNK = r"(?iu)^unknown artist|^unknown$|^\s*-\s*$|^advert|^reklama|^werbung|^commercial|^jingle|^id\s*$|^station id|^live stream|^untitled|^no title|^\d+\s*$"
@@ -24,7 +25,7 @@ COLLABORATORS = r"(?U)\s+(?:feat\.?|ft\.?|featuring|vs\.?|&|with)\s+"
 @cache
 def _marks(by_class: bool) -> str:
     """A character class of combining marks: by combining class, or by category Mn."""
-    points = [i for i in range(0x300, 0x1F000) if (unicodedata.combining(chr(i)) if by_class else unicodedata.category(chr(i)) == "Mn")]
+    points = [i for i in range(0x300, 0x110000) if (unicodedata.combining(chr(i)) if by_class else unicodedata.category(chr(i)) == "Mn")]
     out, start = [], None
     for i, j in zip(points, [*points[1:], -1]):
         start = i if start is None else start
@@ -34,6 +35,11 @@ def _marks(by_class: bool) -> str:
     return "[" + "".join(out) + "]+"
 
 
+def stripped(text: Column) -> Column:
+    """Without white space at either end, of any kind."""
+    return F.regexp_replace(text, rf"(?U)^{SPACE}+|{SPACE}+\z", "")
+
+
 def without_marks(text: Column, form: str, by_class: bool) -> Column:
     """The text decomposed (NFD or NFKD), without combining marks."""
 
@@ -65,7 +71,7 @@ def artist_key(text: Column) -> Column:
 
 def tag_key(text: Column) -> Column:
     """A tag for the taxonomy: separators become spaces."""
-    bare = without_marks(F.lower(F.regexp_replace(text, r"(?U)^\s+|\s+$", "")), "NFKD", by_class=True)
+    bare = without_marks(F.lower(stripped(text)), "NFKD", by_class=True)
     return F.trim(F.regexp_replace(F.regexp_replace(bare, r"[_\-/|]+", " "), r"(?U)\s+", " "))
 
 
@@ -81,9 +87,24 @@ def unescaped(text: pd.Series) -> pd.Series:
     return text.map(html.unescape, na_action="ignore")
 
 
+def key64(text: Column) -> Column:
+    """A stable 64-bit key: the first 8 bytes of BLAKE2b of that length, as a signed number; Spark has no function for it."""
+
+    @F.arrow_udf(LongType())
+    def keyed(values):
+        import hashlib
+
+        import pyarrow as pa
+
+        digest = lambda v: int.from_bytes(hashlib.blake2b(v.encode(), digest_size=8).digest(), "big", signed=True)
+        return pa.array([None if v is None else digest(v) for v in values.to_pylist()], pa.int64())
+
+    return keyed(text)
+
+
 def spaced(text: Column) -> Column:
     """White space collapsed and trimmed."""
-    return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(text, rf"(?U){SPACE}+", " "))
 
 
 def is_junk(text: Column) -> Column:

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 ARTIST_FIRST, TRACK_FIRST = 0, 1
 
 # Words that mark a version of a track, and words that join performers.
-VERSIONS = "mix remix edit version live acoustic instrumental radio remaster remastered cover prod feat ft featuring extended club original single album demo bonus explicit clean mono stereo reprise intro outro part pt vocal dub".split()
+VERSIONS = (
+    "mix", "remix", "edit", "version", "live", "acoustic", "instrumental", "radio", "remaster", "remastered", "cover", "prod", "feat", "ft", "featuring", "extended", "club", "original", "single", "album", "demo", "bonus", "explicit", "clean", "mono", "stereo", "reprise", "intro", "outro", "part", "pt", "vocal", "dub",
+)
 VERSION = rf"(?iuU)[\(\[][^\)\]]*\b({'|'.join(VERSIONS)})\b"
 COLLABORATION = r"(?iuU)(?<![\(\[])\b(feat\.?|ft\.?|featuring|vs\.?|pres\.?|presents)\b(?![^\(\[]*[\)\]])"
 

@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
+from .text import stripped
+
 # Schemes, ports that are never visited, the longest URL, and playlist endings.
 SCHEMES = ("http", "https")
 BLOCKED_PORTS = (22, 23, 25, 445, 3306, 5432, 6379, 11211, 27017)
@@ -18,6 +20,11 @@ PLAYLISTS = ("m3u", "m3u8", "pls", "xspf", "asx")
 SHAPE = r"^([A-Za-z][A-Za-z0-9+.\-]*):(?://([^/?#]*))?([^?#]*)"
 
 
+def let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def scheme(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, SHAPE, 1))
 
@@ -63,15 +70,23 @@ PRIVATE = "0.0.0.0/8 10.0.0.0/8 127.0.0.0/8 169.254.0.0/16 172.16.0.0/12 192.0.0
 PUBLIC_WITHIN = ("192.0.0.9", "192.0.0.10")
 
 
+_RANGES = [(int(n.network_address), int(n.broadcast_address)) for n in map(ipaddress.ip_network, PRIVATE)]
+
+
 def is_public_ipv4(address: Column) -> Column:
     """True or false for an IPv4 literal, null for anything else."""
-    parts = [F.regexp_extract(address, r"^(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})$", i).try_cast("long") for i in range(1, 5)]
-    value = parts[0] * (1 << 24) + parts[1] * (1 << 16) + parts[2] * (1 << 8) + parts[3]
-    fine = (parts[0] < 256) & (parts[1] < 256) & (parts[2] < 256) & (parts[3] < 256) & ~address.rlike(r"(^|\.)0\d")
-    inside = F.lit(False)
-    for net in map(ipaddress.ip_network, PRIVATE):
-        inside = inside | value.between(int(net.network_address), int(net.broadcast_address))
-    return F.when(fine, ~inside | address.isin(*PUBLIC_WITHIN))
+
+    def of(octets: Column) -> Column:
+        fine = (F.size(octets) == 4) & F.forall(octets, lambda o: F.coalesce(o < 256, F.lit(False)))
+        return F.when(fine, let(F.aggregate(octets, F.lit(0).cast("bigint"), lambda n, o: n * 256 + o), number))
+
+    def number(value: Column) -> Column:
+        inside = F.exists(F.array(*(F.struct(F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for lo, hi in _RANGES)), lambda r: value.between(r["lo"], r["hi"]))
+        return ~inside | address.isin(*PUBLIC_WITHIN)
+
+    # one pattern, then numbers: what is no literal costs no more than the test
+    literal = address.rlike(r"^(?:0|[1-9]\d{0,2})(?:\.(?:0|[1-9]\d{0,2})){3}$")
+    return F.when(literal, let(F.transform(F.split(address, r"\."), lambda o: o.cast("bigint")), of))
 
 
 def is_public(address: Column) -> Column:
@@ -83,16 +98,24 @@ def refusal(url: Column, six: bool = False) -> Column:
     """Why a URL is unsafe, null if its shape is fine. ``six`` also checks IPv6 literals."""
     url = F.coalesce(url, F.lit(""))
     trimmed = F.trim(url)
-    number = F.coalesce(F.nullif(port(trimmed), F.lit(0)), F.when(scheme(trimmed) == "https", 443).otherwise(80))
-    public = is_public(host(trimmed)) if six else is_public_ipv4(host(trimmed))
-    return (
-        F.when((url == "") | (F.length(url) > LONGEST), "length")
-        .when(~scheme(trimmed).isin(*SCHEMES), "scheme")
-        .when(host(trimmed) == "", "host")
-        .when((port_text(trimmed) != "") & port(trimmed).isNull(), "port")
-        .when(number.isin(*BLOCKED_PORTS) | (number < 1) | (number > 65535), "port")
-        .when(~public, "address")
-    )
+
+    def of(u: Column) -> Column:
+        number = F.coalesce(F.nullif(u["port"], F.lit(0)), F.when(u["scheme"] == "https", 443).otherwise(80))
+        return (
+            F.when((u["url"] == "") | (F.length(u["url"]) > LONGEST), "length")
+            .when(~u["scheme"].isin(*SCHEMES), "scheme")
+            .when(u["host"] == "", "host")
+            .when((u["port_text"] != "") & u["port"].isNull(), "port")
+            .when(number.isin(*BLOCKED_PORTS) | (number < 1) | (number > 65535), "port")
+            .when(~is_public_ipv4(u["host"]), "address")
+        )
+
+    # each part is taken once
+    reason = let(F.struct(url.alias("url"), scheme(trimmed).alias("scheme"), host(trimmed).alias("host"), port_text(trimmed).alias("port_text"), port(trimmed).alias("port")), of)
+    if not six:
+        return reason
+    named = host(trimmed)
+    return F.coalesce(reason, F.when(~_public_six(F.when(named.contains(":"), named)), "address"))
 
 
 def dedup_key(url: Column) -> Column:
@@ -115,7 +138,7 @@ def _path_of(text: Column) -> Column:
 
 def mount_path(text: Column) -> Column:
     """A mount for comparison: lower case, without query, semicolons, playlist ending, trailing slashes."""
-    out = F.lower(F.trim(F.regexp_extract(F.coalesce(F.nullif(_path_of(text), F.lit("")), F.lit("/")), r"^([^?]*)", 1)))
+    out = F.lower(stripped(F.regexp_extract(F.coalesce(F.nullif(_path_of(text), F.lit("")), F.lit("/")), r"^([^?]*)", 1)))
     out = F.regexp_replace(out, ";+$", "")
     for ending in PLAYLISTS:
         out = F.regexp_replace(out, rf"\.{ending}$", "")
@@ -124,7 +147,7 @@ def mount_path(text: Column) -> Column:
 
 
 def raw_mount_path(text: Column) -> Column:
-    out = F.trim(F.regexp_extract(_path_of(text), r"^([^?]*)", 1))
+    out = stripped(F.regexp_extract(_path_of(text), r"^([^?]*)", 1))
     return F.when((out == "") | out.startswith("/"), out).otherwise(F.concat(F.lit("/"), out))
 
 

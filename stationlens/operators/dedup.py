@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..storage import materialize
+
 
 def best_per_key(df: DataFrame, key: str, quality: list[str], order: str, place: str = "first_seq") -> DataFrame:
     """Greatest ``quality`` (in that order of columns) of each key, earliest on ties; ``place`` is the key's first ``order``."""
@@ -43,3 +45,16 @@ def overlay(catalog: DataFrame, picks: DataFrame, key: str, order: str, picked:
     changed = own.select(key, *map(filled, columns), *rest, F.coalesce("picked_", F.lit(False)).alias("featured"))
     others = ranked.where("not take_").select(key, *columns, *rest, F.lit(False).alias("featured"))
     return changed.unionByName(others)
+
+
+def featured_first(catalog: DataFrame, order: list[Column | str], place: str = "place") -> DataFrame:
+    """The rows in order, those that are featured before all others; ``place`` counts from 0 and is found without one task holding all.
+
+    Rows are ranged over tasks by their order; a task's rows are numbered after those of the tasks before it.
+    """
+    keys = [F.desc("featured"), *order]
+    ranged = materialize(catalog.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumns({"part_": F.spark_partition_id(), "at_": F.monotonically_increasing_id()}), "ranged")
+    at = F.row_number().over(W.partitionBy("part_").orderBy("at_")) - 1
+    sizes = ranged.groupBy("part_").agg(F.count("*").alias("n_"))
+    before = sizes.select("part_", (F.sum("n_").over(W.orderBy("part_")) - F.col("n_")).alias("before_"))  # a row for each task
+    return ranged.withColumn("within_", at).join(before, "part_").withColumn(place, F.col("before_") + F.col("within_")).drop("part_", "at_", "within_", "before_")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.types import ArrayType, StringType
 
 from ..functions import text as T
 from ..functions import url as U
@@ -15,15 +16,18 @@ TITLE_KEYS = ("title", "songtitle", "yp_currently_playing", "song")
 TITLE_LABELS = ("currently playing", "current song", "now playing", "title")
 NAME_LABELS = ("stream name", "stream title", "name")
 LISTENER_LABELS = ("listeners (current)", "current listeners", "listeners")
-BODY_BYTES = 400_000
+# How a page of mounts writes a block's heading, a row of label and value, and a cell.
+HEADING = r"(?iU)<h3[^>]*>\s*Mount Point\s*([^<\s]+)"
+ROW = r"(?iU)<td[^>]*>([^<]{1,60}):</td>\s*<td[^>]*>([^<]{0,200})</td>"
+CELL = r"<td[^>]*>([^<]{4,150})</td>"
 
 MOUNT = "struct<path:string,listen_url:string,raw_path:string,title:string,name:string,genre:string,codec:string,bitrate:bigint,listeners:bigint>"
 
 
 def _json(value: str, at: str) -> Column:
-    """A string of a JSON value, trimmed; empty for anything else."""
-    plain = f"try_variant_get({value}, '{at}', 'string')"
-    return F.expr(f"if(schema_of_variant(try_variant_get({value}, '{at}', 'variant')) = 'STRING', trim({plain}), '')")
+    """A string of a JSON value without white space around it; empty for anything else."""
+    is_text = F.expr(f"coalesce(schema_of_variant(try_variant_get({value}, '{at}', 'variant')) = 'STRING', false)")
+    return F.when(is_text, T.stripped(F.expr(f"try_variant_get({value}, '{at}', 'string')"))).otherwise("")
 
 
 def _filled(*values: Column) -> Column:
@@ -66,41 +70,55 @@ def shoutcast(docs: DataFrame, doc: str, value: str) -> DataFrame:
     return docs.where(has).select(doc, F.lit(0).alias("pos"), mount.alias("mount"))
 
 
-def any_titles(docs: DataFrame, doc: str, body: str, depth: int = 6) -> DataFrame:
-    """Titles of unknown JSON, to a bounded depth, as mounts without a path."""
-    level = docs.select(doc, F.expr(f"try_parse_json({body})").alias("v"), F.array().cast("array<int>").alias("place"))
-    found = None
-    for _ in range(depth):
-        level.createOrReplaceTempView("stationlens_level")
-        spark = docs.sparkSession
-        inner = spark.sql(f"select {doc}, place, e.pos, e.key, e.value from stationlens_level, lateral variant_explode(v) e")
-        inner = inner.select(doc, F.concat("place", F.array(F.col("pos").cast("int"))).alias("place"), "key", F.col("value").alias("v"), F.expr("schema_of_variant(value)").alias("type"))
-        text = F.expr("trim(try_variant_get(v, '$', 'string'))")
-        is_title = F.coalesce(F.col("key").isin(*TITLE_KEYS), F.lit(False)) & (F.col("type") == "STRING")
-        titles = inner.where(is_title).where(text != "").select(doc, "place", text.alias("title"))
-        found = titles if found is None else found.unionByName(titles)
-        level = inner.where(F.expr("startswith(type, 'OBJECT') or startswith(type, 'ARRAY')")).select(doc, "v", "place")
+@F.arrow_udf(ArrayType(StringType()))
+def _titles(bodies):
+    """All texts under a title key, in the order of the document, however deep."""
+    import json
+
+    import pyarrow as pa
+
+    def of(body):
+        try:
+            whole = json.loads(body)
+        except (ValueError, RecursionError):
+            return None
+        todo, out = [whole] if isinstance(whole, dict | list) else [], []
+        while todo:
+            node = todo.pop()
+            if isinstance(node, str):
+                out.append(node)  # put there by its key
+            elif isinstance(node, dict):
+                inner = [v.strip() if k in TITLE_KEYS and isinstance(v, str) else v for k, v in node.items() if isinstance(v, dict | list) or k in TITLE_KEYS and isinstance(v, str) and v.strip()]
+                todo += reversed(inner)
+            elif isinstance(node, list):
+                todo += reversed([v for v in node if isinstance(v, dict | list)])
+        return out
+
+    return pa.array([None if b is None else of(b) for b in bodies.to_pylist()], pa.list_(pa.string()))
+
+
+def any_titles(docs: DataFrame, doc: str, body: str) -> DataFrame:
+    """Titles of unknown JSON, at any depth, as mounts without a path; Spark's functions don't recurse."""
+    listed = docs.select(doc, _titles(F.col(body)).alias("titles")).select(doc, F.posexplode("titles").alias("pos", "title"))
     empty = F.lit("")
-    mount = _mount(empty, empty, empty, F.col("title"), empty, empty, empty, F.lit(0), F.lit(0))
-    order = F.row_number().over(W.partitionBy(doc).orderBy("place")) - 1
-    return found.select(doc, order.alias("pos"), mount.alias("mount"))
+    return listed.select(doc, "pos", _mount(empty, empty, empty, F.col("title"), empty, empty, empty, F.lit(0), F.lit(0)).alias("mount"))
 
 
 def html(docs: DataFrame, doc: str, body: str) -> DataFrame:
     """Blocks headed "Mount Point /x" with rows of label and value; else titles in cells that hold a dash."""
-    blocks = docs.select(doc, F.posexplode(F.slice(F.split(F.col(body), r"(?i)(?=<h3[^>]*>\s*Mount Point\s*[^<\s])"), 1, 100_000)).alias("pos", "block"))
-    raw = F.regexp_extract("block", r"(?i)^<h3[^>]*>\s*Mount Point\s*([^<\s]+)", 1)
-    row = F.lit(r"(?i)<td[^>]*>([^<]{1,60}):</td>\s*<td[^>]*>([^<]{0,200})</td>")
-    labels, values = F.regexp_extract_all("block", row, F.lit(1)), F.regexp_extract_all("block", row, F.lit(2))
-    rows = blocks.withColumn("raw", raw).where("raw <> ''").withColumn("fields", F.transform(F.arrays_zip(labels.alias("k"), values.alias("v")), lambda f: F.struct(F.lower(F.trim(f["k"])).alias("k"), F.trim(f["v"]).alias("v"))))
+    blocks = docs.select(doc, F.posexplode(F.split(F.col(body), f"(?={HEADING})")).alias("pos", "block"))
+    raw = F.regexp_extract("block", f"^{HEADING}", 1)
+    labels, values = F.regexp_extract_all("block", F.lit(ROW), F.lit(1)), F.regexp_extract_all("block", F.lit(ROW), F.lit(2))
+    rows = blocks.withColumn("raw", raw).where("raw <> ''").withColumn("fields", F.transform(F.arrays_zip(labels.alias("k"), values.alias("v")), lambda f: F.struct(F.lower(T.stripped(f["k"])).alias("k"), T.stripped(f["v"]).alias("v"))))
     # of rows with one label the last counts
     of = lambda label: F.coalesce(F.try_element_at(F.filter("fields", lambda f: f["k"] == label), F.lit(-1))["v"], F.lit(""))
     first = lambda names: F.coalesce(_filled(*map(of, names)), F.lit(""))
     mount = _mount(U.mount_path(F.col("raw")), F.lit(""), U.raw_mount_path(F.col("raw")), first(TITLE_LABELS), first(NAME_LABELS), of("genre"), U.codec_of(of("content type")), _number(of("bitrate")), _number(first(LISTENER_LABELS)))
     named = rows.select(doc, "pos", mount.alias("mount"))
-    cells = docs.join(named.select(doc).distinct(), doc, "left_anti").select(doc, F.posexplode(F.regexp_extract_all(F.col(body), F.lit(r"<td[^>]*>([^<]{4,150})</td>"), F.lit(1))).alias("pos", "cell"))
+    cells = docs.join(named.select(doc).distinct(), doc, "left_anti").select(doc, F.posexplode(F.regexp_extract_all(F.col(body), F.lit(CELL), F.lit(1))).alias("pos", "cell"))
+    cells = cells.withColumn("cell", T.stripped(F.col("cell")))
     empty = F.lit("")
-    bare = cells.where("contains(trim(cell), ' - ')").select(doc, "pos", _mount(empty, empty, empty, F.trim("cell"), empty, empty, empty, F.lit(0), F.lit(0)).alias("mount"))
+    bare = cells.where("contains(cell, ' - ')").select(doc, "pos", _mount(empty, empty, empty, F.col("cell"), empty, empty, empty, F.lit(0), F.lit(0)).alias("mount"))
     return named.unionByName(bare)
 
 

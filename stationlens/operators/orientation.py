@@ -93,3 +93,18 @@ def graded(songs: DataFrame, oracle: DataFrame, artist: str = "artist", track: s
 
 def grades(found: DataFrame) -> DataFrame:
     return found.groupBy("source", "verdict").agg(F.count("*").alias("n"))
+
+
+def corpus(titles: DataFrame, station: str = "station") -> DataFrame:
+    """(titles, stations) of a capture."""
+    return titles.agg(F.count("*").alias("titles"), F.count_distinct(station).alias("stations"))
+
+
+def measured(readings: DataFrame, oracle: DataFrame | None = None) -> DataFrame:
+    """One row: sampled, song, unsplit, notmusic, rate, and against an oracle right, wrong and the accuracy (null if nothing is graded)."""
+    out = resolution(readings).crossJoin(readings.agg(F.count("*").alias("sampled")))  # one row each
+    if oracle is None:
+        return out.withColumns({"right": F.lit(0).cast("long"), "wrong": F.lit(0).cast("long"), "accuracy": F.lit(None).cast("double")})
+    verdicts = graded(readings.where("kind = 'song'"), oracle).agg(F.count_if(F.col("verdict") == "ok").alias("right"), F.count_if(F.col("verdict") == "WRONG").alias("wrong"))
+    of = F.col("right") + F.col("wrong")
+    return out.crossJoin(verdicts).withColumn("accuracy", F.when(of > 0, 100.0 * F.col("right") / of))

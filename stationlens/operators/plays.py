@@ -39,6 +39,22 @@ def bounded(keys: DataFrame, limit: int = HALVES, longest: int = KEY) -> DataFra
     return counted.orderBy(F.desc("n"), "key").limit(limit)
 
 
+def merged_halves(state: DataFrame, new: DataFrame, limit: int = HALVES) -> DataFrame:
+    """Two such histograms (key, n) as one, of the most frequent ``limit`` keys."""
+    added = state.select("key", "n").unionByName(new.select("key", "n")).groupBy("key").agg(F.sum("n").alias("n"))
+    return added.orderBy(F.desc("n"), "key").limit(limit)
+
+
+def rounds(observations: DataFrame, stamp: str = "round") -> DataFrame:
+    """(rounds, updated): how many rounds there were, and the last."""
+    return observations.agg(F.count_distinct(stamp).alias("rounds"), F.max(stamp).alias("updated"))
+
+
+def merged_rounds(state: DataFrame, new: DataFrame) -> DataFrame:
+    """Two such counts of different rounds as one."""
+    return state.unionByName(new).agg(F.sum("rounds").alias("rounds"), F.max("updated").alias("updated"))
+
+
 def index_rows(pairs: DataFrame, catalog: DataFrame, representatives: DataFrame | None = None, min_plays: int = 1, top: int = TOP) -> DataFrame:
     """(artist_key, rank, uuid, n, watchable, variants): an artist's stations, watchable first, then by plays.
 

@@ -44,13 +44,22 @@ def passes(codec: Column, bitrate: Column, least: int = BITRATE, gate: Gate = Ga
 def overlaps(paths: DataFrame, host: str = "host", path: str = "path", least: float = OVERLAP) -> DataFrame:
     """(a, b) of hosts whose sets of paths have a Jaccard index of at least ``least``, a before b: more paths, then name.
 
-    Sets are joined on their paths, so hosts that share none never meet.
+    Such sets share one of the first n - ceil(least * n) + 1 of their paths, in any order that all
+    sets have: by rarity, so that a path that many hosts have joins few of them. The pairs that
+    meet there, of sizes near enough, are compared in full.
     """
-    distinct = paths.select(F.col(host).alias("host"), F.col(path).alias("path")).distinct()
+    distinct = materialize(paths.select(F.col(host).alias("host"), F.col(path).alias("path")).distinct(), "paths")
     sizes = distinct.groupBy("host").agg(F.count("*").alias("n"))
-    sized = distinct.join(sizes, "host")
-    met = sized.alias("x").join(sized.alias("y"), (F.col("x.path") == F.col("y.path")) & (F.col("x.host") != F.col("y.host")) & ((F.col("x.n") > F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.host") < F.col("y.host")))) & (F.col("y.n") >= F.col("x.n") * least))
-    both = met.groupBy(F.col("x.host").alias("a"), F.col("y.host").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")).agg(F.count("*").alias("both"))
+    often = distinct.groupBy("path").agg(F.count("*").alias("often"))
+    sized = distinct.join(often, "path").join(sizes, "host")
+    rank = F.row_number().over(W.partitionBy("host").orderBy("often", "path"))
+    rare = materialize(sized.withColumn("rank", rank).where(F.col("rank") <= F.col("n") - F.ceil(F.lit(least) * F.col("n") - 1e-9) + 1).select("host", "path", "n"), "rare")
+    before = (F.col("x.n") > F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.host") < F.col("y.host")))
+    met = rare.alias("x").join(rare.alias("y"), (F.col("x.path") == F.col("y.path")) & (F.col("x.host") != F.col("y.host")) & before & (F.col("y.n") >= F.col("x.n") * least))
+    pairs = met.select(F.col("x.host").alias("a"), F.col("y.host").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")).distinct()
+    # the smaller set's paths, looked up in the larger
+    both = pairs.join(distinct.select(F.col("host").alias("b"), "path"), "b").join(distinct.select(F.col("host").alias("a"), "path"), ["a", "path"])
+    both = both.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("both"))
     return both.where(F.col("both") / (F.col("na") + F.col("nb") - F.col("both")) >= least).select("a", "b")
 
 

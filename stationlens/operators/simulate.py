@@ -23,7 +23,7 @@ def zipf(spark: SparkSession, n: int, exponent: float) -> DataFrame:
     """(rank, weight) of a Zipf distribution; weights add up to 1."""
     raw = spark.range(1, n + 1).select(F.col("id").alias("rank"), F.pow(F.col("id").cast("double"), F.lit(-exponent)).alias("w"))
     total = raw.agg(F.sum("w").alias("total"))
-    return raw.crossJoin(F.broadcast(total)).select("rank", (F.col("w") / F.col("total")).alias("weight"))
+    return raw.crossJoin(total).select("rank", (F.col("w") / F.col("total")).alias("weight"))
 
 
 def expected_coverage(weights: DataFrame, samples: int) -> DataFrame:
@@ -40,9 +40,15 @@ def drawn(points: DataFrame, weights: DataFrame, slots: int = 1024) -> DataFrame
     return points.withColumn("slot", F.floor(F.col("u") * slots)).join(ranges, "slot").where((F.col("u") >= F.col("lo")) & ((F.col("u") < F.col("hi")) | last)).drop("slot", "lo", "hi")
 
 
+def draw(seed: int, *of: Column | str) -> Column:
+    """A number from 0 to 1 that is the same for the same values: the first 48 bits of an MD5."""
+    text = F.concat_ws(":", F.lit(str(seed)), *(F.col(c).cast("string") if isinstance(c, str) else c.cast("string") for c in of))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 12), 16, 10).cast("long") / F.lit(float(1 << 48))
+
+
 def drawn_coverage(weights: DataFrame, samples: int, trials: int, seed: int = SEED) -> DataFrame:
     """The mean over trials of the share of plays whose item was drawn."""
-    points = weights.sparkSession.range(trials * samples).select((F.col("id") % trials).alias("trial"), F.rand(seed).alias("u"))
+    points = weights.sparkSession.range(trials * samples).select((F.col("id") % trials).alias("trial"), draw(seed, "id").alias("u"))
     hits = drawn(points, weights).select("trial", "rank", "weight").distinct()
     return hits.groupBy("trial").agg(F.sum("weight").alias("share")).agg(F.avg("share").alias("coverage"))
 
@@ -55,12 +61,12 @@ def hit_rate(spark: SparkSession, stations: int, days: int = 30, searches: int =
     """
     rate = sampling_rate() if rate is None else rate
     wanted = zipf(spark, universe, 0.8)
-    start = spark.range(stations).select("id", F.rand(seed).alias("u"), (150 + F.floor(F.rand(seed + 1) * 351)).alias("depth"))
+    start = spark.range(stations).select("id", draw(seed, "id").alias("u"), (150 + F.floor(draw(seed + 1, "id") * 351)).alias("depth"))
     first = drawn(start, wanted).select("id", "depth", F.floor((F.col("rank") - 1) / 4).alias("start"))
     played = first.select("id", "start", F.explode(F.sequence(F.lit(0), F.col("depth").cast("int") - 1)).alias("r"))
     plays = 3.0 / F.pow(F.col("r") + 1, F.lit(0.7))
-    seen = played.where(F.rand(seed + 2) < 1 - missed(F.lit(rate), plays, F.lit(days))).select((F.least(F.col("start") + F.col("r"), F.lit(universe - 1)) + 1).alias("rank")).distinct()
-    asked = drawn(spark.range(searches).select(F.rand(seed + 3).alias("u")), wanted).select("rank")
+    seen = played.where(draw(seed + 2, "id", "r") < 1 - missed(F.lit(rate), plays, F.lit(days))).select((F.least(F.col("start") + F.col("r"), F.lit(universe - 1)) + 1).alias("rank")).distinct()
+    asked = drawn(spark.range(searches).select(draw(seed + 3, "id").alias("u")), wanted).select("rank")
     found = asked.join(seen, "rank", "left_semi").agg(F.count("*").alias("n"))
     return found.select((F.col("n") / searches).alias("hit_rate"))
 

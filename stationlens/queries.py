@@ -197,7 +197,7 @@ def geo_drop_rate(spark, sf_dir):
     return counted.select("n_regionkey", F.round(geo.drop_rate(F.col("with_geo"), F.col("dropped")), 6).alias("rate"))
 
 
-@query("sampled_capture")
+@query("sampled_capture", "SELECT DISTINCT url, true AS watchable, md5('7:' || url) AS m FROM pages ORDER BY m, url LIMIT 50".join(("SELECT url, watchable FROM (", ")")))
 def sampled_capture(spark, sf_dir):
     return readers.sampled(table(spark, sf_dir, "pages").select("url", F.lit(True).alias("watchable")).distinct(), 50, 7)
 
@@ -266,24 +266,22 @@ def geo_containment(spark, sf_dir):
 # --------------------------------------------------------------- text
 
 SQL_PLAIN = "regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace({0}, '[\\(\\[].*?[\\)\\]]', ' ', 'g'), '[^a-z0-9 ]+', ' ', 'g'), ' +', ' ', 'g')), '^the ', '')"
-SQL_FIRST_LINE = "split_part(text, chr(10), 1)"
 
 
-@query("fold_text", f"SELECT doc_id, {SQL_PLAIN.format(f'strip_accents(lower({SQL_FIRST_LINE}))')} AS key FROM documents")
+@query("fold_text", f"SELECT doc_id, {SQL_PLAIN.format("strip_accents(lower(text))")} AS key FROM documents")
 def fold_text(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", T.fold(F.substring_index("text", "\n", 1)).alias("key"))
+    return table(spark, sf_dir, "documents").select("doc_id", T.fold(F.col("text")).alias("key"))
 
 
-@query("artist_key", f"SELECT doc_id, {SQL_PLAIN.format(f'''regexp_split_to_array(strip_accents(lower({SQL_FIRST_LINE} || ' ft. Other')), ' +(?:feat\\.?|ft\\.?|featuring|vs\\.?|&|with) +')[1]''')} AS key FROM documents")
+@query("artist_key", f"SELECT doc_id, {SQL_PLAIN.format(r"regexp_split_to_array(strip_accents(lower(text)), '\s+(?:feat\.?|ft\.?|featuring|vs\.?|&|with)\s+')[1]")} AS key FROM documents")
 def artist_key(spark, sf_dir):
-    line = F.concat(F.substring_index("text", "\n", 1), F.lit(" ft. Other"))
-    return table(spark, sf_dir, "documents").select("doc_id", T.artist_key(line).alias("key"))
+    return table(spark, sf_dir, "documents").select("doc_id", T.artist_key(F.col("text")).alias("key"))
 
 
-@query("song_key", f"SELECT doc_id, trim(regexp_replace(strip_accents(lower({SQL_FIRST_LINE})), '[^a-z0-9]+', ' ', 'g')) || ' ' || lang AS key FROM documents WHERE regexp_matches({SQL_FIRST_LINE}, '[a-zA-Z0-9]')")
+@query("song_key", "SELECT doc_id, trim(trim(regexp_replace(strip_accents(lower(text)), '[^a-z0-9]+', ' ', 'g')) || ' ' || lang) AS key FROM documents")
 def song_key(spark, sf_dir):
-    key = F.regexp_replace(F.replace(T.song_key(F.substring_index("text", "\n", 1), F.col("lang")), F.lit("\0"), F.lit(" ")), " +", " ")
-    return table(spark, sf_dir, "documents").where(F.substring_index("text", "\n", 1).rlike("[a-zA-Z0-9]")).select("doc_id", key.alias("key"))
+    key = F.replace(T.song_key(F.col("text"), F.col("lang")), F.lit("\0"), F.lit(" "))
+    return table(spark, sf_dir, "documents").select("doc_id", F.trim(F.regexp_replace(key, " +", " ")).alias("key"))
 
 
 @query("unescaped_titles", "SELECT page_id, replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '&') AS title FROM pages")
@@ -630,9 +628,23 @@ def zipf_expected_coverage(spark, sf_dir):
     return simulate.expected_coverage(simulate.zipf(spark, 2000, 0.8), 5000).select(F.round("coverage", 9).alias("coverage"))
 
 
-@query("zipf_drawn_coverage")
+def _sql_zipf(n: int) -> str:
+    """Ranks with their share of the range from 0 to 1, and what a draw is."""
+    return f"""raw AS (SELECT i AS rank, pow(i::DOUBLE, -0.8) AS w FROM range(1, {n + 1}) r(i)), share AS (SELECT rank, w / (SELECT sum(w) FROM raw) AS weight FROM raw),
+    upper AS (SELECT rank, weight, sum(weight) OVER (ORDER BY rank) - weight AS lo FROM share)"""
+
+
+def _sql_draw(seed: int, of: str) -> str:
+    return f"(('0x' || substr(md5('{seed}:' || {of}), 1, 12))::BIGINT / {float(1 << 48)})"
+
+
+@query(
+    "zipf_drawn_coverage",
+    f"""WITH {_sql_zipf(2000)}, point AS (SELECT id % 20 AS trial, {_sql_draw(simulate.SEED, "id")} AS u FROM range(100000) r(id)),
+    hit AS (SELECT DISTINCT trial, rank, weight FROM point ASOF JOIN upper ON u >= lo), trial AS (SELECT trial, sum(weight) AS share FROM hit GROUP BY trial) SELECT round(avg(share), 9) AS coverage FROM trial""",
+)
 def zipf_drawn_coverage(spark, sf_dir):
-    return simulate.drawn_coverage(simulate.zipf(spark, 2000, 0.8), 5000, 20)
+    return simulate.drawn_coverage(simulate.zipf(spark, 2000, 0.8), 5000, 20).select(F.round("coverage", 9).alias("coverage"))
 
 
 @query("expected_wait", "SELECT pool, round(60 / (pool * 24 / (86400 / 233.0) / 24), 9) AS minutes FROM (VALUES (10), (100), (646)) v(pool)")
@@ -640,7 +652,13 @@ def expected_wait(spark, sf_dir):
     return values(spark, "(10), (100), (646)", "pool").select("pool", F.round(simulate.wait_minutes(F.col("pool"), F.lit(simulate.sampling_rate())), 9).alias("minutes"))
 
 
-@query("search_hit_rate")
+@query(
+    "search_hit_rate",
+    f"""WITH {_sql_zipf(20000)}, station AS (SELECT id, {_sql_draw(7, "id")} AS u, 150 + floor({_sql_draw(8, "id")} * 351) AS depth FROM range(230) r(id)),
+    first AS (SELECT id, depth, floor((rank - 1) / 4)::BIGINT AS start FROM station ASOF JOIN upper ON u >= lo), played AS (SELECT id, start, unnest(range(depth::BIGINT)) AS r FROM first),
+    seen AS (SELECT DISTINCT least(start + r, 19999) + 1 AS rank FROM played WHERE {_sql_draw(9, "id || ':' || r")} < 1 - pow(1 - 24 / (86400 / 233.0), 3.0 / pow(r + 1, 0.7) * 30)),
+    asked AS (SELECT rank FROM (SELECT {_sql_draw(10, "id")} AS u FROM range(4000) r(id)) ASOF JOIN upper ON u >= lo) SELECT count(*) / 4000.0 AS hit_rate FROM asked WHERE rank IN (SELECT rank FROM seen)""",
+)
 def search_hit_rate(spark, sf_dir):
     return simulate.hit_rate(spark, 230)
 

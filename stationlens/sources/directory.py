@@ -1,8 +1,9 @@
-"""The station directory as a Spark data source: one partition for each country or tag."""
+"""The station directory as a Spark data source: countries and tags, asked by one task unless more are wanted."""
 
 from __future__ import annotations
 
 import gzip
+import http.client
 import json
 import time
 import urllib.parse
@@ -15,8 +16,10 @@ from .readers import RECORD
 
 
 class Pass(InputPartition):
-    def __init__(self, kind: str, value: str):
-        self.kind, self.value = kind, value
+    """What one task asks for, with a pause before each call."""
+
+    def __init__(self, wanted: list[tuple[str, str]]):
+        self.wanted = wanted
 
 
 class DirectoryReader(DataSourceReader):
@@ -29,30 +32,34 @@ class DirectoryReader(DataSourceReader):
         self.limit = int(options.get("limit", "1000"))
         self.pause = float(options.get("pause", "0.35"))
         self.timeout = float(options.get("timeout", "20"))
+        #: Tasks that ask at a time; with one, the pause holds for all calls.
+        self.tasks = int(options.get("tasks", "1"))
 
     def partitions(self) -> list[InputPartition]:
-        return [Pass("bycountrycodeexact", c) for c in self.countries] + [Pass("bytagexact", t) for t in self.tags]
+        wanted = [("bycountrycodeexact", c) for c in self.countries] + [("bytagexact", t) for t in self.tags]
+        return [Pass(wanted[k :: self.tasks]) for k in range(min(self.tasks, len(wanted)))]
 
     def fetch(self, path: str, **query: str) -> list[dict]:
         failed: Exception | None = None
         for mirror in self.mirrors:
             request = urllib.request.Request(f"{mirror}{path}?{urllib.parse.urlencode(query)}", headers={"Accept-Encoding": "gzip"})
+            time.sleep(self.pause)
             try:
                 with urllib.request.urlopen(request, timeout=self.timeout) as answer:
                     body = answer.read()
                     if answer.headers.get("Content-Encoding") == "gzip":
                         body = gzip.decompress(body)
-                time.sleep(self.pause)
                 return json.loads(body)
-            except (OSError, ValueError) as e:
+            except (OSError, ValueError, http.client.HTTPException) as e:
                 failed = e
         raise ConnectionError(f"no mirror answers {path}") from failed
 
     def read(self, partition: Pass) -> Iterator[tuple]:
         names = [c.split()[0] for c in RECORD.split(", ")]
-        path = f"/json/stations/{partition.kind}/{urllib.parse.quote(partition.value)}"
-        for record in self.fetch(path, order="clickcount", reverse="true", hidebroken="true", limit=str(self.limit)):
-            yield tuple(None if record.get(n) is None else str(record[n]) for n in names)
+        for kind, value in partition.wanted:
+            path = f"/json/stations/{kind}/{urllib.parse.quote(value)}"
+            for record in self.fetch(path, order="clickcount", reverse="true", hidebroken="true", limit=str(self.limit)):
+                yield tuple(None if record.get(n) is None else str(record[n]) for n in names)
 
 
 class Directory(DataSource):
@@ -76,7 +83,7 @@ def report_clicks(stations, mirror: str, uuid: str = "uuid", timeout: float = 5.
         for row in rows:
             try:
                 urllib.request.urlopen(f"{mirror}/json/url/{urllib.parse.quote(row[uuid])}", timeout=timeout).close()
-            except OSError:
+            except (OSError, http.client.HTTPException):
                 continue
 
     stations.select(uuid).foreachPartition(tell)
@@ -88,10 +95,14 @@ def mirrors(suffix: str, name: str, fallback: list[str]) -> list[str]:
 
     found = set()
     try:
-        for info in socket.getaddrinfo(name, 443, proto=socket.IPPROTO_TCP):
-            host = socket.gethostbyaddr(info[4][0])[0]
-            if host.endswith(suffix):
-                found.add(f"https://{host}")
+        addresses = {info[4][0] for info in socket.getaddrinfo(name, 443, proto=socket.IPPROTO_TCP)}
     except OSError:
-        pass
+        return fallback
+    for address in addresses:
+        try:
+            host = socket.gethostbyaddr(address)[0]
+        except OSError:
+            continue  # the other addresses are looked at all the same
+        if host.endswith(suffix):
+            found.add(f"https://{host}")
     return sorted(found) or fallback

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text as T
+
 
 def stations(spark: SparkSession, path: str) -> DataFrame:
     """A JSON array of directory records, as written there."""
@@ -21,9 +23,9 @@ def shaped(records: DataFrame) -> DataFrame:
     """Records with defaults, typed: tags split, trimmed and lowered; codes upper case; numbers 0 if they are none."""
     text = lambda c: F.coalesce(c, F.lit("")).alias(c)
     number = lambda c: F.coalesce(F.col(c).try_cast("bigint"), F.lit(0).cast("bigint")).alias(c)
-    tags = F.filter(F.transform(F.split(F.coalesce("tags", F.lit("")), ","), lambda t: F.lower(F.trim(t))), lambda t: t != "")
+    tags = F.filter(F.transform(F.split(F.coalesce("tags", F.lit("")), ","), lambda t: F.lower(T.stripped(t))), lambda t: t != "")
     return records.select(
-        "seq", F.coalesce("stationuuid", F.lit("")).alias("uuid"), F.trim(F.coalesce("name", F.lit(""))).alias("name"), text("url"), F.coalesce(F.nullif("url_resolved", F.lit("")), "url", F.lit("")).alias("url_resolved"),
+        "seq", F.coalesce("stationuuid", F.lit("")).alias("uuid"), T.stripped(F.coalesce("name", F.lit(""))).alias("name"), text("url"), F.coalesce(F.nullif("url_resolved", F.lit("")), "url", F.lit("")).alias("url_resolved"),
         text("homepage"), tags.alias("tags"), text("country"), F.upper(F.coalesce("countrycode", F.lit(""))).alias("countrycode"), text("language"), F.upper(F.coalesce("codec", F.lit(""))).alias("codec"), text("favicon"),
         number("bitrate"), number("votes"), number("clickcount"), F.coalesce(F.col("lastcheckok").isin("1", "true"), F.lit(False)).alias("lastcheckok"), F.col("geo_lat").try_cast("double").alias("geo_lat"), F.col("geo_long").try_cast("double").alias("geo_long"),
     )
@@ -48,23 +50,70 @@ def keyed_json(spark: SparkSession, path: str, value: str) -> DataFrame:
 
 def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Arrays of records of all files that match, with the file, and the place in it, as their order."""
-    whole = spark.read.option("wholetext", True).text(path).withColumn("file", F.col("_metadata.file_path"))
+    whole = spark.read.text(path, wholetext=True).withColumn("file", F.col("_metadata.file_path"))
     rows = whole.select("file", F.posexplode(F.from_json("value", f"array<struct<{schema}>>")).alias("seq", "r"))
     return rows.select("file", "seq", "r.*")
 
 
-def recordings(spark: SparkSession, path: str) -> DataFrame:
-    """The canonical dump: columns 3, 6 and 7 (from 0) of a CSV with a header."""
-    raw = spark.read.csv(path, header=False, quote='"', escape='"', multiLine=True)
+def recordings(spark: SparkSession, path: str, lines_within: bool = False) -> DataFrame:
+    """The canonical dump: columns 3, 6 and 7 (from 0) of a CSV with a header.
+
+    A file is split among tasks; only a dump with line breaks inside its fields
+    (``lines_within``) is read by one task for each file.
+    """
+    raw = spark.read.csv(path, header=False, quote='"', escape='"', multiLine=lines_within)
     names = raw.columns
     rows = raw.select(F.col(names[3]).alias("artist"), F.col(names[6]).alias("recording"), F.col(names[7]).alias("title"))
     return rows.where("recording not in ('recording_mbid', 'canonical_recording_mbid') or recording is null")
 
 
+# A row of the redirect dump is three ids of 36 characters, apart by a comma; the second is the target.
+REDIRECT_WIDTH, TARGET_AT, ID_WIDTH = 110, 38, 36
+
+
 def redirects(spark: SparkSession, path: str) -> DataFrame:
-    """The redirect dump: the second of three ids."""
-    rows = spark.read.csv(path, header=False).select(F.col("_c1").alias("target"))
-    return rows.where(F.col("target").rlike("^[0-9a-fA-F]{8}-"))
+    """The redirect dump by its fixed widths: the second of three ids."""
+    rows = spark.read.text(path).where(F.length("value") == REDIRECT_WIDTH)
+    return rows.select(F.substring("value", TARGET_AT, ID_WIDTH).alias("target")).where(F.col("target").rlike("^[0-9a-fA-F]{8}-"))
+
+
+def archived(spark: SparkSession, paths: list[str], ending: str) -> DataFrame:
+    """(archive, seq, value) of the lines of the members whose name ends so, of tar archives, plain or by zstd or gzip.
+
+    An archive is a stream, which one task reads; write the lines to split them. Paths are
+    of files that all executors can open.
+    """
+
+    def run(batches):
+        import tarfile
+
+        import pyarrow as pa
+        import zstandard
+
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                with open(path, "rb") as file:
+                    source = zstandard.ZstdDecompressor().stream_reader(file) if path.endswith((".zst", ".zstd")) else file
+                    seq, held, size = 0, [], 0
+                    with tarfile.open(fileobj=source, mode="r|gz" if path.endswith("gz") else "r|") as tar:
+                        for member in tar:
+                            if not member.isfile() or not member.name.endswith(ending):
+                                continue
+                            for line in tar.extractfile(member):
+                                held.append(line.rstrip(b"\n").decode("utf-8", "replace"))
+                                size += len(line)
+                                if size > 4 << 20:
+                                    yield _batch(pa, path, seq, held)
+                                    seq, held, size = seq + len(held), [], 0
+                    if held:
+                        yield _batch(pa, path, seq, held)
+
+    rows = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, len(paths)))
+    return rows.mapInArrow(run, "archive string, seq long, value string")
+
+
+def _batch(pa, path: str, seq: int, lines_: list[str]):
+    return pa.RecordBatch.from_arrays([pa.array([path] * len(lines_)), pa.array(range(seq, seq + len(lines_)), pa.int64()), pa.array(lines_, pa.string())], names=["archive", "seq", "value"])
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
@@ -77,4 +126,9 @@ def pair_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def sampled(catalog: DataFrame, n: int, seed: int = 0) -> DataFrame:
     """``n`` watchable stations with a URL in the order of a seeded hash: the same ones each time."""
-    return catalog.where("watchable and url <> ''").orderBy(F.xxhash64("url", F.lit(seed)), "url").limit(n)
+    return catalog.where("watchable and url <> ''").orderBy(F.md5(F.concat(F.lit(f"{seed}:"), "url").cast("binary")), "url").limit(n)
+
+
+def wide(codes: DataFrame, deep: list[str]) -> DataFrame:
+    """The countries that aren't read deep, in their order: ``codes`` has code and n."""
+    return codes.where(~F.col("code").isin(*deep)) if deep else codes

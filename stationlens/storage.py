@@ -18,7 +18,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        if not context.master.startswith("local["):
+        if not context.master.startswith("local[") and context.master != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="stationlens-"))
     return context._jsc.sc().getCheckpointDir().get().rstrip("/")
@@ -49,6 +49,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def cached(spark: SparkSession, path: str, make) -> DataFrame:
+    """The table at ``path``; made and written there if there is none."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at, "_SUCCESS")):
+        make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete materialized tables that nothing will read again."""
     for df in frames:

@@ -32,8 +32,28 @@ def fold_pairs(folder: str, **columns: str) -> Callable[[DataFrame, int], None]:
     return fold
 
 
-def stream_pairs(observations: DataFrame, folder: str, checkpoint: str, **columns: str) -> StreamingQuery:
-    return observations.writeStream.foreachBatch(fold_pairs(folder, **columns)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def fold_halves(folder: str, raw: str = "raw", limit: int = plays.HALVES) -> Callable[[DataFrame, int], None]:
+    """For ``foreachBatch``: the histogram of title halves, as a bounded version of the state for each batch."""
+
+    def fold(batch: DataFrame, number: int) -> None:
+        new = plays.half_counts(batch, raw, limit)
+        state = _version(batch.sparkSession, folder, number)
+        (new if state is None else plays.merged_halves(state, new, limit)).write.mode("overwrite").parquet(f"{folder}/batch={number}")
+
+    return fold
+
+
+def _rounds(every: str | None) -> dict:
+    """What is there now, or a round each so often, as "1 hour"."""
+    return {"availableNow": True} if every is None else {"processingTime": every}
+
+
+def stream_pairs(observations: DataFrame, folder: str, checkpoint: str, every: str | None = None, **columns: str) -> StreamingQuery:
+    return observations.writeStream.foreachBatch(fold_pairs(folder, **columns)).option("checkpointLocation", checkpoint).trigger(**_rounds(every)).start()
+
+
+def stream_halves(titles: DataFrame, folder: str, checkpoint: str, every: str | None = None, raw: str = "raw", limit: int = plays.HALVES) -> StreamingQuery:
+    return titles.writeStream.foreachBatch(fold_halves(folder, raw, limit)).option("checkpointLocation", checkpoint).trigger(**_rounds(every)).start()
 
 
 def latest(spark: SparkSession, folder: str) -> DataFrame:
@@ -44,9 +64,9 @@ def latest(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/batch={last}")
 
 
-def new_titles(titles: DataFrame, keys: list[str], path: str, checkpoint: str) -> StreamingQuery:
+def new_titles(titles: DataFrame, keys: list[str], path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Titles that weren't there before, appended; the state of what was seen is Spark's."""
-    return titles.dropDuplicates(keys).writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return titles.dropDuplicates(keys).writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(**_rounds(every)).start()
 
 
 class Tally(StatefulProcessor):
