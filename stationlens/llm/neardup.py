@@ -16,12 +16,13 @@ similar sets the chance of a greater distance is about 5e-9 at similarity 0.85 w
 Buckets of up to ``SMALL`` classes give their pairs under the signature distance and
 the size bound. In larger buckets, every class is paired with one of them, the pivot, chosen by the
 least hash, so that buckets of one family mostly choose the same. All pairs are confirmed on
-the full sets (of 64-bit shingle hashes), and the links make components. What a bucket
-then still has outside its largest component is dealt into blocks of about ``GROUP`` classes,
-a task for each two blocks, and compared with each other and with that component; there a
-pair is looked at only in the first bucket that it shares, and only while no links
-connect it. So a family of near copies sends its texts a few times, whatever its size, and only what no pivot
-is like is compared with all. Components are found by star contraction.
+the full sets (of 64-bit shingle hashes), and the links make components. Large buckets that
+aren't one component yet and share classes make a family. A family of up to ``SIGNED`` classes is compared
+by signatures as a whole; the buckets of a larger one are compared each, what is outside the largest component
+with each other and with it, in blocks of about ``SIGNED`` classes, and a pair counts in the first
+bucket that it shares. Only classes with pairs under the distance that no links connect send their texts, to blocks of
+about ``GROUP``, where links found so far spare others. So a family of near copies sends its texts a
+few times, however many buckets hold it. Components are found by star contraction.
 
 Rows that repeat a doc_id count as one document with the links of all its texts. A
 row without doc_id is linked with nothing and kept. An empty table gives no rows.
@@ -44,6 +45,7 @@ from . import shared
 
 SMALL = 48
 GROUP = 1024
+SIGNED = 8192
 
 
 @dataclass(frozen=True)
@@ -139,12 +141,8 @@ def _confirm(batches: Iterator[pa.RecordBatch], scheme: Scheme) -> Iterator[pa.R
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], names=["a", "b"])
 
 
-def _block_links(found: list[np.ndarray], side: np.ndarray, component: np.ndarray, part: int, scheme: Scheme) -> Iterator[tuple[int, int]]:
-    slots = np.stack([signature(x, scheme.slots) for x in found])
-    size = np.array([len(x) for x in found])
-    left = np.flatnonzero(side == 0)
-    right = np.flatnonzero(side == 1) if (side == 1).any() else left
-    met = []
+def _wanted(slots: np.ndarray, size: np.ndarray, component: np.ndarray, left: np.ndarray, right: np.ndarray, part: int, scheme: Scheme) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(left, right, distance) of pairs near enough that the bucket of key ``part`` is the first to hold and no links connect."""
     for at in range(0, len(left), 64):
         here = left[at : at + 64]
         same = slots[here][:, None, :] == slots[right][None, :, :]
@@ -156,7 +154,43 @@ def _block_links(found: list[np.ndarray], side: np.ndarray, component: np.ndarra
         for earlier in scheme.indexes[:part]:
             want &= ~same[:, :, list(earlier)].all(axis=2)
         a, b = np.nonzero(want)
-        met.append(np.stack([here[a], right[b], distance[a, b]]))
+        yield here[a], right[b], distance[a, b]
+
+
+def _parted(which: np.ndarray, ids: np.ndarray) -> list[np.ndarray]:
+    """The rows in blocks of about GROUP, by their ids."""
+    n = max(1, -(-len(which) // GROUP))
+    of = (K.mix(ids[which].astype(K.U), 41) % K.U(n)).astype(np.int64)
+    return [which[of == k] for k in range(n) if (of == k).any()]
+
+
+def _needed(batches: Iterator[pa.RecordBatch], scheme: Scheme) -> Iterator[pa.RecordBatch]:
+    """Of the blocks of signatures, what is to be confirmed: the classes with wanted pairs, in blocks of about GROUP."""
+    shared.kept("neardup")
+    for gid, rows in shared.runs(batches, "gid"):
+        part = rows.column("part")[0].as_py()
+        side, ids, component, size = (rows.column(c).to_numpy() for c in ("side", "doc_id", "comp", "n"))
+        slots = np.frombuffer(b"".join(rows.column("slots").to_pylist()), dtype=np.uint16).reshape(len(ids), scheme.slots)
+        lefts = _parted(np.flatnonzero(side == 0), ids)
+        rights = _parted(np.flatnonzero(side == 1), ids)
+        for i, left in enumerate(lefts):
+            for j, right in enumerate(rights or lefts[i:]):
+                found = list(_wanted(slots, size, component, left, right, part, scheme))
+                a, b = (np.unique(np.concatenate([f[k] for f in found])) for k in (0, 1)) if found else ((), ())
+                if not len(a):
+                    continue
+                number = int(K.mix(np.array([gid], np.int64).view(K.U) + K.U(i << 20 | j), 43).view(np.int64)[0])
+                which = np.union1d(a, b) if right is left else np.concatenate([a, b])
+                sides = np.zeros(len(which), np.int32) if right is left else np.repeat(np.array([0, 1], np.int32), [len(a), len(b)])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(which), number)), pa.array(np.full(len(which), part, np.int32)), pa.array(sides), pa.array(ids[which]), pa.array(component[which])], names=["gid", "part", "side", "doc_id", "comp"])
+
+
+def _block_links(found: list[np.ndarray], side: np.ndarray, component: np.ndarray, part: int, scheme: Scheme) -> Iterator[tuple[int, int]]:
+    slots = np.stack([signature(x, scheme.slots) for x in found])
+    size = np.array([len(x) for x in found])
+    left = np.flatnonzero(side == 0)
+    right = np.flatnonzero(side == 1) if (side == 1).any() else left
+    met = [np.stack(f) for f in _wanted(slots, size, component, left, right, part, scheme)]
     a, b, distance = np.concatenate(met, axis=1)
     _, component = np.unique(component, return_inverse=True)
     groups = _Union(len(found))  # of components
@@ -174,22 +208,31 @@ def _differing(scheme: Scheme):
 
 
 def _open_blocks(large: DataFrame, found: DataFrame) -> DataFrame:
-    """gid, part, side, doc_id and comp of the pairs of blocks in which large buckets may hold links between components."""
-    placed = large.join(found, large["rep"] == found["node"], "left").select("bucket", "part", "g", "rep", F.coalesce("component", "rep").alias("comp"))
+    """gid, part, side, doc_id, comp, n and slots of the pairs of blocks in which large buckets may hold links between components."""
+    placed = large.join(found, large["rep"] == found["node"], "left").select("bucket", "part", F.col("rep").alias("doc_id"), "n", "slots", F.coalesce("component", "rep").alias("comp"))
     placed = shared.materialize(placed, "placed")
-    sizes = placed.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
-    main = shared.materialize(sizes.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("m"), F.sum("n").alias("g")).where("g > m.n").select("bucket", F.col("m.comp").alias("main"), F.col("m.n").alias("n_main"), (F.col("g") - F.col("m.n")).alias("n_others")), "main")
-    both = placed.select("bucket", "part", "rep", "comp").join(main, "bucket")
-    others, mains = both.where("comp <> main"), both.where("comp = main")
-    n_blocks = lambda n: F.ceil(F.col(n) / GROUP).cast("long")
-    own = lambda n: F.pmod(F.xxhash64("rep", F.lit(7)), n_blocks(n))
+    sizes = placed.groupBy("bucket", "comp").agg(F.count("*").alias("k"))
+    main = sizes.groupBy("bucket").agg(F.max(F.struct("k", "comp")).alias("m"), F.sum("k").alias("g")).where("g > m.k")
+    main = shared.materialize(main.select("bucket", "g", F.col("m.comp").alias("main"), F.col("m.k").alias("n_main"), (F.col("g") - F.col("m.k")).alias("n_others")), "main")
+    both = shared.materialize(placed.join(main, "bucket"), "open")
+    heads = both.groupBy("bucket").agg(F.min("doc_id").alias("head"))
+    family = shared.materialize(components(both.join(heads, "bucket").select(F.col("doc_id").alias("a"), F.col("head").alias("b"))), "families")
+    whole = shared.materialize(family.groupBy("component").agg(F.count("*").alias("classes")).where(f"classes <= {SIGNED}").select("component"), "whole")
+    of_family = family.join(whole, "component").select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
+    signed = both.groupBy("doc_id").agg(F.first("n").alias("n"), F.first("slots").alias("slots"), F.first("comp").alias("comp")).join(of_family, "doc_id")
+    n_blocks = lambda n: F.ceil(F.col(n) / SIGNED).cast("long")
+    own = lambda n: F.pmod(F.xxhash64("doc_id", F.lit(7)), n_blocks(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n_blocks(n) - 1))
-    among = others.withColumns({"own": own("n_others")}).withColumn("other", every("n_others"))
-    among = among.select(F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("gid"), "part", F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side"), F.col("rep").alias("doc_id"), "comp")
-    gid = F.xxhash64("bucket", F.lit("main"), "here", "there").alias("gid")
-    left = others.withColumn("here", own("n_others")).withColumn("there", every("n_main")).select(gid, "part", F.lit(0).alias("side"), F.col("rep").alias("doc_id"), "comp")
-    right = mains.withColumn("there", own("n_main")).withColumn("here", every("n_others")).select(gid, "part", F.lit(1).alias("side"), F.col("rep").alias("doc_id"), "comp")
-    return among.unionByName(left).unionByName(right)
+    dealt = lambda rows, gid, side: rows.select(gid.alias("gid"), "part", side.alias("side"), "doc_id", "comp", "n", "slots")
+    one = dealt(signed.withColumn("part", F.lit(0)), F.xxhash64("family", F.lit("family")), F.lit(0))
+    more = both.join(of_family.select("doc_id"), "doc_id", "left_anti")
+    others, mains = more.where("comp <> main"), more.where("comp = main")
+    among = others.withColumn("here", own("n_others")).withColumn("there", every("n_others"))
+    among = dealt(among, F.xxhash64("bucket", F.least("here", "there"), F.greatest("here", "there")), F.when(F.col("here") > F.col("there"), 1).otherwise(0))
+    gid = F.xxhash64("bucket", F.lit("main"), "here", "there")
+    left = dealt(others.withColumn("here", own("n_others")).withColumn("there", every("n_main")), gid, F.lit(0))
+    right = dealt(mains.withColumn("there", own("n_main")).withColumn("here", every("n_others")), gid, F.lit(1))
+    return one.unionByName(among).unionByName(left).unionByName(right)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", scheme: Scheme = Scheme()) -> DataFrame:
@@ -228,7 +271,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sc
         return with_text.repartition(into, "part", "gid").sortWithinPartitions("part", "gid", "doc_id").mapInArrow(lambda b: _confirm(b, scheme), "a long, b long")
 
     found = shared.materialize(components(confirmed(stars)), "components")
-    dealt = shared.materialize(_open_blocks(large, found), "blocks")
+    signatures = _open_blocks(large, found).repartition("part", "gid").sortWithinPartitions("part", "gid")
+    dealt = shared.materialize(signatures.mapInArrow(lambda b: _needed(b, scheme), "gid long, part int, side int, doc_id long, comp long"), "blocks")
     if not dealt.isEmpty():
         found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(confirmed(dealt)))
 

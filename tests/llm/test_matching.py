@@ -343,3 +343,23 @@ def test_next_documents_of_sparse_missing_and_repeated_ids(make, monkeypatch):
     follows = {edited(a, b): (a, b) for a in lost for b in lost if a != b}
     inside = [follows[x] for x in found[None] if x in follows]
     assert len({a for a, _ in inside}) >= 69 and found[known[-1][0]] <= {edited(known[-1][1], t) for t in lost}
+
+
+def test_near_duplicates_of_families_larger_than_a_block(make, monkeypatch):
+    """A chain of near copies, where no class is like all others, by families and by buckets."""
+    rng = random.Random(31)
+    w = [f"w{rng.randrange(900)}" for _ in range(100)]
+    rows = []
+    for i in range(260):
+        if i % 2:
+            w = list(w)
+            w[rng.randrange(len(w))] = f"x{i}"
+        x = list(w)
+        for _ in range(rng.randrange(5)):
+            x[rng.randrange(len(x))] = f"y{rng.randrange(50)}"
+        rows.append((i, " ".join(x)))
+    expected = linked(rows, 3, 85)
+    for size in (8192, 64):
+        monkeypatch.setattr(neardup, "SIGNED", size)
+        found = neardup.near_duplicates(make(rows), scheme=neardup.Scheme(3, 85, 6)).collect()
+        assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in found], key=repr) == expected
