@@ -102,9 +102,16 @@ def corpus(titles: DataFrame, station: str = "station") -> DataFrame:
 
 def measured(readings: DataFrame, oracle: DataFrame | None = None) -> DataFrame:
     """One row: sampled, song, unsplit, notmusic, rate, and against an oracle right, wrong and the accuracy (null if nothing is graded)."""
-    out = resolution(readings).crossJoin(readings.agg(F.count("*").alias("sampled")))  # one row each
-    if oracle is None:
-        return out.withColumns({"right": F.lit(0).cast("long"), "wrong": F.lit(0).cast("long"), "accuracy": F.lit(None).cast("double")})
-    verdicts = graded(readings.where("kind = 'song'"), oracle).agg(F.count_if(F.col("verdict") == "ok").alias("right"), F.count_if(F.col("verdict") == "WRONG").alias("wrong"))
-    of = F.col("right") + F.col("wrong")
-    return out.crossJoin(verdicts).withColumn("accuracy", F.when(of > 0, 100.0 * F.col("right") / of))
+    figures = ("sampled", "song", "unsplit", "notmusic", "right", "wrong")
+    none = F.lit(0).cast("long")
+    counted = resolution(readings).drop("rate")
+    counted = counted.unionByName(readings.agg(F.count("*").alias("sampled")), allowMissingColumns=True)
+    if oracle is not None:
+        verdict = graded(readings.where("kind = 'song'"), oracle)
+        counted = counted.unionByName(verdict.agg(F.count_if(F.col("verdict") == "ok").alias("right"), F.count_if(F.col("verdict") == "WRONG").alias("wrong")), allowMissingColumns=True)
+    else:
+        counted = counted.withColumns({"right": none, "wrong": none})
+    one = counted.agg(*(F.coalesce(F.sum(c), none).alias(c) for c in figures))
+    music, judged = F.col("song") + F.col("unsplit"), F.col("right") + F.col("wrong")
+    rate, accuracy = (F.when(music > 0, 100.0 * F.col("song") / music).otherwise(0.0), F.when(judged > 0, 100.0 * F.col("right") / judged))
+    return one.withColumns({"rate": rate, "accuracy": accuracy})
