@@ -30,7 +30,7 @@ row without doc_id is linked with nothing and kept. An empty table gives no rows
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -207,17 +207,17 @@ def _differing(scheme: Scheme):
     return sum((F.expr(f"int(substring(x.slots, {2 * s + 1}, 2) <> substring(y.slots, {2 * s + 1}, 2))") for s in range(scheme.slots)), F.lit(0))
 
 
-def _open_blocks(large: DataFrame, found: DataFrame) -> DataFrame:
+def _open_blocks(large: DataFrame, found: DataFrame, scratch: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """gid, part, side, doc_id, comp, n and slots of the pairs of blocks in which large buckets may hold links between components."""
     placed = large.join(found, large["rep"] == found["node"], "left").select("bucket", "part", F.col("rep").alias("doc_id"), "n", "slots", F.coalesce("component", "rep").alias("comp"))
-    placed = shared.materialize(placed, "placed")
+    placed = scratch(placed, "placed")
     sizes = placed.groupBy("bucket", "comp").agg(F.count("*").alias("k"))
     main = sizes.groupBy("bucket").agg(F.max(F.struct("k", "comp")).alias("m"), F.sum("k").alias("g")).where("g > m.k")
-    main = shared.materialize(main.select("bucket", "g", F.col("m.comp").alias("main"), F.col("m.k").alias("n_main"), (F.col("g") - F.col("m.k")).alias("n_others")), "main")
-    both = shared.materialize(placed.join(main, "bucket"), "open")
+    main = scratch(main.select("bucket", "g", F.col("m.comp").alias("main"), F.col("m.k").alias("n_main"), (F.col("g") - F.col("m.k")).alias("n_others")), "main")
+    both = scratch(placed.join(main, "bucket"), "open")
     heads = both.groupBy("bucket").agg(F.min("doc_id").alias("head"))
-    family = shared.materialize(components(both.join(heads, "bucket").select(F.col("doc_id").alias("a"), F.col("head").alias("b"))), "families")
-    whole = shared.materialize(family.groupBy("component").agg(F.count("*").alias("classes")).where(f"classes <= {SIGNED}").select("component"), "whole")
+    family = scratch(components(both.join(heads, "bucket").select(F.col("doc_id").alias("a"), F.col("head").alias("b"))), "families")
+    whole = scratch(family.groupBy("component").agg(F.count("*").alias("classes")).where(f"classes <= {SIGNED}").select("component"), "whole")
     of_family = family.join(whole, "component").select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
     signed = both.groupBy("doc_id").agg(F.first("n").alias("n"), F.first("slots").alias("slots"), F.first("comp").alias("comp")).join(of_family, "doc_id")
     n_blocks = lambda n: F.ceil(F.col(n) / SIGNED).cast("long")
@@ -239,6 +239,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sc
     """doc_id, n_shingles, component_id and kept, of each row."""
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    held: list[DataFrame] = []
+
+    def scratch(df: DataFrame, name: str) -> DataFrame:
+        """A written table that goes when the components are known."""
+        held.append(shared.materialize(df, name))
+        return held[-1]
+
     signed = shared.materialize(rows.mapInArrow(lambda b: _sign(b, scheme), "doc_id long, n long, h1 long, h2 long, slots binary"), "signed")
     classes = shared.materialize(signed.where("n > 0 and doc_id is not null").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"), F.min("slots").alias("slots")), "classes")
 
@@ -246,7 +253,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sc
     listed = classes.select("rep", F.posexplode(F.array(*keys)).alias("part", "bucket"))
     shared_buckets = listed.groupBy("bucket").agg(F.count("*").alias("g")).where("g > 1")
     members = listed.join(shared_buckets, "bucket").join(classes.select("rep", "n", "slots"), "rep")
-    members = shared.materialize(members, "members")
+    members = scratch(members, "members")
 
     close = (100 * F.least("x.n", "y.n") >= scheme.percent * F.greatest("x.n", "y.n")) & (_differing(scheme) <= scheme.distance)
     small = members.where(f"g <= {SMALL}").select("bucket", "rep", "n", "slots")
@@ -255,14 +262,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sc
 
     large = members.where(f"g > {SMALL}")
     # written, so that the join has an exchange on either side and AQE can split a bucket of many
-    pivots = shared.materialize(large.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("rep"), "rep", "n", "slots")).alias("p")).select("bucket", "p.rep", "p.n", "p.slots"), "pivots")
+    pivots = scratch(large.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("rep"), "rep", "n", "slots")).alias("p")).select("bucket", "p.rep", "p.n", "p.slots"), "pivots")
     met = pivots.alias("x").join(large.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.rep") != F.col("y.rep")))
     # a pivot's star is dealt in pieces of about GROUP classes; a class is in the same one in all buckets of about its size
     piece = F.pmod(F.xxhash64("y.rep", F.lit(7)), F.pow(F.lit(2.0), F.ceil(F.log2(F.col("y.g") / GROUP + 1))).cast("long"))
-    pairs = shared.materialize(pairs.unionByName(met.where(close).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), piece.alias("piece"))).groupBy("a", "b").agg(F.min("piece").alias("piece")), "pairs")
+    pairs = scratch(pairs.unionByName(met.where(close).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), piece.alias("piece"))).groupBy("a", "b").agg(F.min("piece").alias("piece")), "pairs")
     star = pairs.select(F.xxhash64("a", "piece").alias("gid"), "a", "b")
     stars = star.select("gid", F.lit(-1).alias("part"), F.lit(1).alias("side"), F.col("b").alias("doc_id"), F.lit(0).cast("long").alias("comp"))
-    stars = shared.materialize(stars.unionByName(star.select("gid", F.lit(-1).alias("part"), F.lit(0).alias("side"), F.col("a").alias("doc_id"), F.lit(0).cast("long").alias("comp")).distinct()), "stars")
+    stars = scratch(stars.unionByName(star.select("gid", F.lit(-1).alias("part"), F.lit(0).alias("side"), F.col("a").alias("doc_id"), F.lit(0).cast("long").alias("comp")).distinct()), "stars")
 
     def confirmed(groups: DataFrame) -> DataFrame:
         # what is to be confirmed grows with the input, so texts are always dealt by id
@@ -270,11 +277,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sc
         into = max(int(spark.conf.get("spark.sql.shuffle.partitions")), groups.count() // 2000)
         return with_text.repartition(into, "part", "gid").sortWithinPartitions("part", "gid", "doc_id").mapInArrow(lambda b: _confirm(b, scheme), "a long, b long")
 
-    found = shared.materialize(components(confirmed(stars)), "components")
-    signatures = _open_blocks(large, found).repartition("part", "gid").sortWithinPartitions("part", "gid")
-    dealt = shared.materialize(signatures.mapInArrow(lambda b: _needed(b, scheme), "gid long, part int, side int, doc_id long, comp long"), "blocks")
+    found = scratch(components(confirmed(stars)), "components")
+    signatures = _open_blocks(large, found, scratch).repartition("part", "gid").sortWithinPartitions("part", "gid")
+    dealt = scratch(signatures.mapInArrow(lambda b: _needed(b, scheme), "gid long, part int, side int, doc_id long, comp long"), "blocks")
     if not dealt.isEmpty():
         found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(confirmed(dealt)))
+    found = shared.materialize(found, "found")
+    shared.discard(*held)
 
     of_class = classes.join(found, F.col("rep") == F.col("node"), "left").select("h1", "h2", "n", F.coalesce("component", "rep").alias("component_id"))
     out = signed.join(of_class, ["h1", "h2", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("c"))

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from stationlens.llm import kernels, lines, recompression, substrings
 
@@ -140,3 +141,27 @@ def test_lines_of_rows_that_share_an_id(make):
     removed = {(r.doc_id, r.text): r.n_removed for r in found}
     assert [r.n_removed for r in found if r.doc_id == 8][0] == [r.n_removed for r in found if r.doc_id == 8][1] > 20
     assert sorted(n > 20 for (i, _), n in removed.items() if i is None) == [False, False, True]
+
+
+def test_of_a_repeated_chunk_one_stays_whatever_the_ids_are(make, corpus):
+    """Null, repeated and unlike rows: what goes are all places of a chunk but one, and nothing else."""
+    lines_of = lambda t: None if t is None else "\n".join(t.split(" "))
+    rows = [(i, lines_of(t)) for i, t in corpus] + [(i and i % 5, lines_of(t)) for i, t in corpus[:40]] + [(None, lines_of(t)) for _, t in corpus[20:50]]
+    times = Counter()
+    for _, text in set(rows):
+        if text is not None:
+            found, chunks = chunks_of(text)
+            for a, b in chunks:
+                if b - a >= 2:
+                    times[tuple(found[a:b])] += 1
+    removed, seen = 0, set()
+    for r in lines.dedup_lines(make(rows).withColumn("whole", F.col("text")), carry=("whole",)).collect():
+        if (r.doc_id, r.whole) in seen or r.whole is None:
+            continue
+        seen.add((r.doc_id, r.whole))
+        removed += r.n_removed
+        found, kept = r.whole.split("\n"), r.text.split("\n") if r.n_removed < r.n_lines else []
+        assert len(found) == r.n_lines and len(kept) == r.n_lines - r.n_removed
+        rest = iter(found)
+        assert all(x in rest for x in kept)  # what stays is in order
+    assert removed == sum((n - 1) * len(chunk) for chunk, n in times.items()) > 500
