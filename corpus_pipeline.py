@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from stationlens.llm import decontaminate, langid, lines, neardup, packing
-from stationlens.llm.shared import materialize, table
+from stationlens.llm.shared import discard, materialize, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -80,5 +80,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to documents, each written and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        discard(before)  # the stage that read it is written
     return STAGES[-1][1](spark, docs, sf_dir)
