@@ -43,6 +43,8 @@ KNOWN = r"(?i:.?(?:EXAMPLE|SAMPLE|abcdefghij|(?:0123456789)+(?:012)?|(?:12345678
 UUID = r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 #: Longer candidates are taken in pieces of this length that overlap by a window less one.
 PIECE = 256
+#: Matches of a text that are placed one after the other.
+MATCHES = 256
 
 
 SPAN = "struct<kind:string,start:int,end:int,value:string>"
@@ -55,7 +57,6 @@ def _scan(pattern: str, possible: Column, kind: str) -> Column:
     empty = F.array().cast("array<string>")
     part = lambda group: F.when(possible, F.regexp_extract_all("text", whole, F.lit(group))).otherwise(empty)
     parts = F.arrays_zip(part(1).alias("before"), part(2).alias("match"), part(value).alias("value"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<" + SPAN + ">").alias("found"))
 
     def step(state: Column, p: Column) -> Column:
         begin = state["at"] + F.char_length(p["before"])
@@ -63,7 +64,15 @@ def _scan(pattern: str, possible: Column, kind: str) -> Column:
         span = F.struct(F.lit(kind).alias("kind"), begin.alias("start"), end.alias("end"), p["value"].alias("value"))
         return F.struct(end.alias("at"), F.when(p["match"] != "", F.concat(state["found"], F.array(span))).otherwise(state["found"]).alias("found"))
 
-    return F.aggregate(parts, start, step, lambda s: s["found"])
+    def of(parts: Column) -> Column:
+        """By groups of ``MATCHES``, so that the work on a text doesn't grow with the square of its matches."""
+        starts = F.sequence(F.lit(0), F.greatest(F.size(parts) - 1, F.lit(0)), F.lit(MATCHES))
+        sizes = F.transform(starts, lambda at: F.aggregate(F.slice(parts, at + 1, F.lit(MATCHES)), F.lit(0), lambda n, p: n + F.char_length(p["before"]) + F.char_length(p["match"])))
+        none = F.array().cast("array<" + SPAN + ">")
+        group = lambda sizes: F.transform(starts, lambda at, k: F.aggregate(F.slice(parts, at + 1, F.lit(MATCHES)), F.struct(F.aggregate(F.slice(sizes, F.lit(1), k), F.lit(0), lambda n, x: n + x).alias("at"), none.alias("found")), step, lambda s: s["found"]))
+        return F.flatten(let(sizes, group))
+
+    return let(parts, of)
 
 
 def _times(c: Column) -> Column:

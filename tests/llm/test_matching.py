@@ -363,3 +363,9 @@ def test_near_duplicates_of_families_larger_than_a_block(make, monkeypatch):
         monkeypatch.setattr(neardup, "SIGNED", size)
         found = neardup.near_duplicates(make(rows), scheme=neardup.Scheme(3, 85, 6)).collect()
         assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in found], key=repr) == expected
+
+
+def test_secrets_of_a_text_with_very_many_matches(make):
+    text = "".join(f"token = abcdefgh{i:05d} é " for i in range(3000))
+    found = secrets.scan(make([(1, text), (2, "x")])).withColumn("joined", secrets.joined("base")).collect()
+    assert {r.doc_id: r.joined for r in found} == {1: base_spans(text), 2: ""}
