@@ -17,8 +17,8 @@ Buckets of up to ``SMALL`` classes give their pairs under the signature distance
 the size bound. In larger buckets, every class is paired with one of them, the pivot, chosen by the
 least hash, so that buckets of one family mostly choose the same. All pairs are confirmed on
 the full sets (of 64-bit shingle hashes), and the links make components. Large buckets that
-aren't one component yet and share classes make a family. A family of up to ``SIGNED`` classes is compared
-by signatures as a whole; the buckets of a larger one are compared each, what is outside the largest component
+aren't one component yet and share classes make a family. One of up to ``SIGNED`` classes is compared
+by signatures as a whole; other buckets are compared each, what is outside the largest component
 with each other and with it, in blocks of about ``SIGNED`` classes, and a pair counts in the first
 bucket that it shares. Only classes with pairs under the distance that no links connect send their texts, to blocks of
 about ``GROUP``, where links found so far spare others. So a family of near copies sends its texts a
@@ -215,17 +215,21 @@ def _open_blocks(large: DataFrame, found: DataFrame, scratch: Callable[[DataFram
     main = sizes.groupBy("bucket").agg(F.max(F.struct("k", "comp")).alias("m"), F.sum("k").alias("g")).where("g > m.k")
     main = scratch(main.select("bucket", "g", F.col("m.comp").alias("main"), F.col("m.k").alias("n_main"), (F.col("g") - F.col("m.k")).alias("n_others")), "main")
     both = scratch(placed.join(main, "bucket"), "open")
+    # families: classes take the least label of their buckets, twice; a bucket whose classes agree then belongs to one
     heads = both.groupBy("bucket").agg(F.min("doc_id").alias("head"))
-    family = scratch(components(both.join(heads, "bucket").select(F.col("doc_id").alias("a"), F.col("head").alias("b"))), "families")
-    whole = scratch(family.groupBy("component").agg(F.count("*").alias("classes")).where(f"classes <= {SIGNED}").select("component"), "whole")
-    of_family = family.join(whole, "component").select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
-    signed = both.groupBy("doc_id").agg(F.first("n").alias("n"), F.first("slots").alias("slots"), F.first("comp").alias("comp")).join(of_family, "doc_id")
+    first = both.join(heads, "bucket").groupBy("doc_id").agg(F.min("head").alias("label"))
+    heads = both.join(first, "doc_id").groupBy("bucket").agg(F.min("label").alias("head"))
+    labels = scratch(both.join(heads, "bucket").groupBy("doc_id").agg(F.min("head").alias("family")), "families")
+    agreed = both.join(labels, "doc_id").groupBy("bucket").agg(F.min("family").alias("family"), F.max("family").alias("other")).where("family = other").select("bucket", "family")
+    signed = scratch(both.join(agreed, "bucket").groupBy("doc_id", "family").agg(F.first("n").alias("n"), F.first("slots").alias("slots"), F.first("comp").alias("comp")), "signed")
+    whole = scratch(signed.groupBy("family").agg(F.count("*").alias("classes")).where(f"classes <= {SIGNED}").select("family"), "whole")
+    signed = signed.join(whole, "family")
     n_blocks = lambda n: F.ceil(F.col(n) / SIGNED).cast("long")
     own = lambda n: F.pmod(F.xxhash64("doc_id", F.lit(7)), n_blocks(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n_blocks(n) - 1))
     dealt = lambda rows, gid, side: rows.select(gid.alias("gid"), "part", side.alias("side"), "doc_id", "comp", "n", "slots")
     one = dealt(signed.withColumn("part", F.lit(0)), F.xxhash64("family", F.lit("family")), F.lit(0))
-    more = both.join(of_family.select("doc_id"), "doc_id", "left_anti")
+    more = both.join(agreed.join(whole, "family").select("bucket"), "bucket", "left_anti")
     others, mains = more.where("comp <> main"), more.where("comp = main")
     among = others.withColumn("here", own("n_others")).withColumn("there", every("n_others"))
     among = dealt(among, F.xxhash64("bucket", F.least("here", "there"), F.greatest("here", "there")), F.when(F.col("here") > F.col("there"), 1).otherwise(0))
