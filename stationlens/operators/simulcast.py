@@ -6,27 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import materialize
+from .agreements import agreements
 from .components import components
 
 #: Rounds of agreement, and share of common rounds in agreement, that confirm a pair.
 MIN_SAME, MIN_AGREEMENT = 3, 0.75
 
 
-def co_occurrence(observations: DataFrame, round_: str = "round", station: str = "uuid", song: str = "song") -> DataFrame:
+def co_occurrence(observations: DataFrame, round_: str = "round", station: str = "uuid", song: str = "song", min_same: int = 1, min_agreement: float = 0.0) -> DataFrame:
     """(a, b, same, both, first, last) of pairs that ever played one song in a round.
 
     ``both`` counts the rounds, from the first agreement on, in which both played.
     Agreements per (round, song) grow with the square of the stations that share a song;
-    that is what is asked for, so AQE's skew join deals a hit song over many tasks.
+    that is what is asked for. They are made and counted between blocks of stations, not shuffled.
+    With minima only the pairs that ``confirmed`` keeps are returned.
     """
-    seen = observations.select(F.col(round_).alias("round"), F.col(station).alias("uuid"), F.col(song).alias("song")).distinct()
-    met = seen.alias("x").join(seen.alias("y"), (F.col("x.round") == F.col("y.round")) & (F.col("x.song") == F.col("y.song")) & (F.col("x.uuid") < F.col("y.uuid")))
-    agreed = met.select(F.col("x.round").alias("round"), F.col("x.uuid").alias("a"), F.col("y.uuid").alias("b")).distinct()
-    same = agreed.groupBy("a", "b").agg(F.count("*").alias("same"), F.min("round").alias("first"), F.max("round").alias("last"))
-    playing = seen.select("round", "uuid").distinct()
-    common = same.select("a", "b", "first").join(playing.select(F.col("uuid").alias("a"), "round"), "a").where("round >= first").join(playing.select(F.col("uuid").alias("b"), "round"), ["b", "round"])
-    both = common.groupBy("a", "b").agg(F.count("*").alias("both"))
-    return same.join(both, ["a", "b"]).select("a", "b", "same", "both", "first", "last")
+    seen = observations.select(F.col(round_).alias("round"), F.col(station).alias("uuid"), F.col(song).alias("song")).where("round is not null and uuid is not null").distinct()
+    return agreements(seen, min_same, min_agreement)
 
 
 def merged(state: DataFrame, agreed: DataFrame, playing: DataFrame) -> DataFrame:

@@ -119,6 +119,64 @@ def test_co_occurrence_is_round_by_round(spark):
     assert {(r.a, r.b): [r.same, r.both] for r in found} == co
 
 
+def brute_agreements(rows):
+    """(same, both, first, last) of each pair, round by round; a row without a song plays something unknown."""
+    songs, co = {}, {}
+    for r, s, x in rows:
+        songs.setdefault(r, {}).setdefault(s, set()).update({x} - {None})
+    for r in sorted(songs):
+        now = songs[r]
+        for a in now:
+            for b in now:
+                if a < b and (now[a] & now[b] or (a, b) in co):
+                    same, both, first, _ = c = co.get((a, b), (0, 0, r, r))
+                    co[a, b] = (same + 1, both + 1, first, r) if now[a] & now[b] else (same, both + 1, first, c[3])
+    return co
+
+
+def agreement_rows():
+    rng = random.Random(8)
+    return [(f"r{r:03d}", f"s{s}", None if rng.random() < 0.05 else f"x{rng.randrange(5)}") for r in range(150) for s in range(40) if rng.random() < 0.5 for _ in range(1 + (rng.random() < 0.2))]
+
+
+@pytest.mark.parametrize("limits", [{}, {"block_rows": 300}, {"task_agreements": 2000, "bitmap_bytes": 0}, {"block_rows": 60, "bitmap_bytes": 0}])
+def test_agreements_between_blocks_are_the_loop(spark, limits):
+    """Pairs within and between blocks, blocks without stations, null songs, two songs in a round, more than 64 rounds."""
+    from stationlens.operators.agreements import agreements
+
+    rows = agreement_rows()
+    seen = spark.createDataFrame(rows, "round string, uuid string, song string").distinct()
+    assert {(r.a, r.b): (r.same, r.both, r.first, r.last) for r in agreements(seen, **limits).collect()} == brute_agreements(rows)
+
+
+def test_many_agreements_are_held_in_pieces(monkeypatch):
+    import pyarrow as pa
+
+    from stationlens.operators import agreements
+
+    monkeypatch.setattr(agreements, "HELD", 500)
+    monkeypatch.setattr(agreements, "PIECE", 7)
+    rows = sorted(set(agreement_rows()), key=repr)
+    table = pa.table({c: pa.array([row[i] for row in rows]).dictionary_encode() for i, c in enumerate(("round", "uuid", "song"))})
+    for limit in (0, 1 << 20):
+        found = pa.Table.from_batches(agreements._pairs([table], 1, 0.0, limit)).to_pylist()
+        assert len(found) == len({(r["a"], r["b"]) for r in found})
+        assert {(r["a"], r["b"]): (r["same"], r["both"], r["first"], r["last"]) for r in found} == brute_agreements(rows)
+
+
+def test_pairs_of_stations_are_not_shuffled(spark):
+    """Pairs grow with the square of a song's stations: they were joined and counted through shuffles, which filled the disk."""
+    rows = spark.createDataFrame([("r", f"s{i}", "hit") for i in range(200)], "round string, uuid string, song string")
+    found = simulcast.co_occurrence(rows)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+    assert found.count() == 200 * 199 // 2
+
+
+def test_no_observations_have_no_pairs(spark):
+    assert simulcast.co_occurrence(spark.createDataFrame([], "round string, uuid string, song string")).count() == 0
+
+
 def tally(rows, evidence):
     """The sequential model: rows of (station, seq, text), evidence of text -> (orientation, strength)."""
     counts, voted, out = {}, set(), {}
