@@ -220,7 +220,7 @@ def merged_half_topk(spark, sf_dir):
 )
 def simulcast_members(spark, sf_dir):
     stations = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("uuid"), (F.col("c_acctbal") > 0).cast("int").alias("bitrate"), F.col("c_custkey").alias("popularity"))
-    return simulcast.representative_map(simulcast.groups(_co(spark, sf_dir), stations, 2, 0.6))
+    return simulcast.representative_map(simulcast.groups(_co(spark, sf_dir, 2, 0.6), stations, 2, 0.6))
 
 
 @query("capture_size", f"WITH {SQL_READ} SELECT count(*) AS titles, count(DISTINCT station) AS stations FROM readings")
