@@ -146,14 +146,15 @@ def selected(streams: DataFrame, mounts: DataFrame, stream: str, host: str, url:
     The path itself (the first of equals), else a base name that only one mount of the host has,
     else the only mount if it has no name.
     """
-    wanted = streams.select(stream, host, U.mount_path(F.col(url)).alias("wanted")).withColumn("base_", F.substring_index("wanted", "/", -1))
-    listed = mounts.withColumn("base_name", F.substring_index("mount.path", "/", -1))
-    alike = F.count("*").over(W.partitionBy(host, "base_name"))
-    listed = listed.withColumns({"alike_": alike, "all_": F.count("*").over(W.partitionBy(host))})
-    met = wanted.join(listed, host)
-    rung = F.when((F.col("mount.path") != "") & (F.col("mount.path") == F.col("wanted")), 1).when((F.col("base_") != "") & (F.col("base_name") == F.col("base_")) & (F.col("alike_") == 1), 2).when((F.col("all_") == 1) & F.col("mount.path").isin("", "/"), 3)
-    ranked = met.withColumn("rung_", rung).where("rung_ is not null").withColumn("rank_", F.row_number().over(W.partitionBy(stream).orderBy("rung_", "pos")))
-    return ranked.where("rank_ = 1").select(stream, F.col("path").alias("endpoint"), "mount")
+    by = lambda path, base: F.explode(F.array(*(F.struct(F.lit(k).alias("rung"), v.alias("key")) for k, v in ((1, path), (2, base), (3, F.lit("")))))).alias("by")
+    wanted = streams.select(stream, host, U.mount_path(F.col(url)).alias("wanted"))
+    wanted = wanted.select(stream, host, by(F.col("wanted"), F.substring_index("wanted", "/", -1))).select(stream, host, "by.*")
+    listed = mounts.select(host, F.struct("pos", "path", "mount").alias("at"), by(F.col("mount.path"), F.substring_index("mount.path", "/", -1))).select(host, "at", "by.*")
+    # one mount at most for each rung and key, joined by equality: hosts have many streams and many mounts
+    sure = listed.where((F.col("rung") == 3) | (F.col("key") != "")).groupBy(host, "rung", "key").agg(F.count("*").alias("n_"), F.min_by("at", "at.pos").alias("at"))
+    sure = sure.where((F.col("rung") == 1) | (F.col("n_") == 1)).where((F.col("rung") < 3) | F.col("at.mount.path").isin("", "/")).drop("n_")
+    best = wanted.join(sure, [host, "rung", "key"]).groupBy(stream).agg(F.min_by("at", F.struct("rung", "at.pos")).alias("at"))
+    return best.select(stream, F.col("at.path").alias("endpoint"), "at.mount")
 
 
 def watchable(streams: DataFrame, chosen: DataFrame, stream: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stationlens.functions import text as T
 from stationlens.functions import titles as S
 from stationlens.functions import url as U
-from stationlens.operators import catalog, dedup, geo, lexicon, orientation, plays, siblings, simulcast
+from stationlens.operators import catalog, dedup, geo, lexicon, mounts, orientation, plays, siblings, simulcast
 from stationlens.operators.components import components
 from stationlens.plans import pipelines
 from stationlens.sources import readers, sinks
@@ -184,6 +184,41 @@ def test_no_observations_have_no_pairs(spark):
     assert simulcast.co_occurrence(spark.createDataFrame([], "round string, uuid string, song string")).count() == 0
 
 
+def mounts_case(spark):
+    rng = random.Random(9)
+    paths = ["/a", "/b", "/x/a", "/x/b", "/y/a", "/c/", "/", ""]
+    listed = [(f"h{h}", pos, rng.choice(paths)) for h in range(60) for pos in range(rng.choice([1, 1, 2, 4, 7]))]
+    streams = [(k, f"h{rng.randrange(62)}", "http://x" + rng.choice(["/a", "/b", "/z/a", "/y/a", "/c", "/none", "/", ""])) for k in range(600)]
+    mount = "struct<path:string>"
+    return streams, listed, spark.createDataFrame(streams, "stream long, host string, url string"), spark.createDataFrame([(h, "/p", pos, (path,)) for h, pos, path in listed], f"host string, path string, pos int, mount {mount}")
+
+
+def test_selected_mounts_are_the_loop(spark):
+    """The path itself, the first of equals; else a base name of one mount; else the only mount if it has no name."""
+    streams, listed, wanted, mounts_ = mounts_case(spark)
+    paths = {r.stream: r.p for r in wanted.select("stream", U.mount_path(F.col("url")).alias("p")).collect()}
+    expected = {}
+    for k, host, _ in streams:
+        own = sorted((pos, path) for h, pos, path in listed if h == host)
+        base = paths[k].rsplit("/", 1)[-1]
+        same = [pos for pos, path in own if path != "" and path == paths[k]]
+        alike = [pos for pos, path in own if base != "" and path.rsplit("/", 1)[-1] == base]
+        if same or len(alike) == 1 or len(own) == 1 and own[0][1] in ("", "/"):
+            expected[k] = own[[p for p, _ in own].index(same[0] if same else alike[0] if len(alike) == 1 else own[0][0])][1]
+    found = mounts.selected(wanted, mounts_, "stream", "host", "url")
+    assert {r.stream: r.mount.path for r in found.collect()} == expected and 0 < len(expected) < len(streams)
+
+
+def test_streams_do_not_meet_all_mounts_of_their_host(spark):
+    """They did, by a join on the host alone, which took a host's streams times its mounts."""
+    streams = spark.range(2000).select(F.col("id").alias("stream"), F.lit("h").alias("host"), F.concat(F.lit("http://x/m"), "id").alias("url"))
+    listed = spark.range(2000).select(F.lit("h").alias("host"), F.lit("/p").alias("path"), F.col("id").cast("int").alias("pos"), F.struct(F.concat(F.lit("/m"), "id").alias("path")).alias("mount"))
+    found = mounts.selected(streams, listed, "stream", "host", "url")
+    assert found.count() == 2000
+    joins = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in line]
+    assert joins and all("key" in line for line in joins)
+
+
 def tally(rows, evidence):
     """The sequential model: rows of (station, seq, text), evidence of text -> (orientation, strength)."""
     counts, voted, out = {}, set(), {}
